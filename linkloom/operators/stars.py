@@ -69,7 +69,9 @@ def large_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
 def small_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Attach every vertex, and its smaller neighbours, to the least of these.
 
-    Reads ``edge_rows`` twice: keep them. The result has no repeated rows.
+    The row that holds a vertex's least neighbour stays, every other row moves
+    down to join that neighbour and the one it held. Reads ``edge_rows`` twice:
+    keep them. The result has no repeated rows.
     """
     least = edge_rows.groupBy(F.col("hi").alias("vertex")).agg(
         F.min("lo").alias("least"), F.count("*").alias("load")
@@ -78,13 +80,15 @@ def small_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
     table = least.withColumn("useful", F.col("load") > 1)
     if limit is None:
         table = table.where("useful")
-    moved = (
+    moves = F.col("lo") > F.col("least")
+    return (
         _look_up(edge_rows, "hi", "lo", table, limit)
-        .where(F.col("lo") != F.col("least"))
-        .select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
+        .select(
+            F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
+            F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
+        )
+        .distinct()
     )
-    kept = least.select(F.col("vertex").alias("hi"), F.col("least").alias("lo"))
-    return moved.unionByName(kept).distinct()
 
 
 def star_labels(edge_rows: DataFrame, self_pairs: DataFrame | None = None) -> DataFrame:

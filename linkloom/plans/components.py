@@ -16,6 +16,10 @@ from linkloom.sources.workspace import Workspace
 
 METHODS = ("star", "min_label")
 
+# Each round reads the labels before it twice, so the plan doubles with every
+# round since the last durable table.
+MAX_CHECKPOINT_EVERY = 5
+
 
 class Round(NamedTuple):
     """What one round did. ``changed`` counts vertices (min_label) or is 0/1 (star)."""
@@ -54,7 +58,7 @@ def connected_components(
     pairs: DataFrame,
     method: str = "star",
     checkpoint_dir: str | None = None,
-    checkpoint_every: int | None = None,
+    checkpoint_every: int = 1,
     max_rounds: int | None = None,
     hot_rows: int = stars.HOT_ROWS,
 ) -> Components:
@@ -65,19 +69,26 @@ def connected_components(
     the same. Pairs may repeat, run either way or join a page to itself; a pair
     with an unknown end is no edge.
 
-    ``checkpoint_every`` is for ``min_label``: rounds between two durable tables
-    are kept in executor memory and disk. ``max_rounds`` fails the run when
-    passed, as labels would be wrong then. ``hot_rows`` is the number of edges
+    ``checkpoint_every`` is for ``min_label``: labels between two durable tables
+    are kept in executor memory and disk, which saves files but may cost a
+    recomputation. ``max_rounds`` fails the run when passed, as labels would be
+    wrong then. ``hot_rows`` is the number of edges
     from which a vertex is treated apart in ``star``.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
+    if method == "star" and checkpoint_every != 1:
+        raise ValueError("star writes a table in every round; checkpoint_every must be 1")
+    if not 1 <= checkpoint_every <= MAX_CHECKPOINT_EVERY:
+        raise ValueError(f"checkpoint_every must be 1 to {MAX_CHECKPOINT_EVERY}")
     work = Workspace(pairs.sparkSession, checkpoint_dir)
-    if method == "star":
-        if checkpoint_every not in (None, 1):
-            raise ValueError("star writes a table in every round; checkpoint_every must be 1")
-        return _by_stars(pairs, work, max_rounds, hot_rows)
-    return _by_propagation(pairs, work, max_rounds, checkpoint_every or 1)
+    try:
+        if method == "star":
+            return _by_stars(pairs, work, max_rounds, hot_rows)
+        return _by_propagation(pairs, work, max_rounds, checkpoint_every)
+    except BaseException:
+        work.drop()
+        raise
 
 
 def _check_rounds(done: int, max_rounds: int | None) -> None:
@@ -85,7 +96,9 @@ def _check_rounds(done: int, max_rounds: int | None) -> None:
         raise RuntimeError(f"components not settled after {done} rounds")
 
 
-def _by_stars(pairs: DataFrame, work: Workspace, max_rounds: int | None, hot_rows: int):
+def _by_stars(
+    pairs: DataFrame, work: Workspace, max_rounds: int | None, hot_rows: int
+) -> Components:
     hi, lo = F.col("hi"), F.col("lo")
     stored, first = work.store(
         stars.pair_edges(pairs),
@@ -103,14 +116,16 @@ def _by_stars(pairs: DataFrame, work: Workspace, max_rounds: int | None, hot_row
         limit = stars.hot_limit(n, hot_rows)
         limit = limit if n > limit else None
         spread = stars.large_star(rows, limit).persist(StorageLevel.MEMORY_AND_DISK)
-        rows, after = work.store(
-            stars.small_star(spread, limit),
-            f"edges-{len(rounds) + 1}",
-            edges=F.count("*"),
-            # Any change to the edge set lowers this sum or the number of rows.
-            weight=F.sum((hi.cast("decimal(20,0)") + lo).cast("decimal(38,0)")),
-        )
-        spread.unpersist()
+        try:
+            rows, after = work.store(
+                stars.small_star(spread, limit),
+                f"edges-{len(rounds) + 1}",
+                edges=F.count("*"),
+                # Any change to the edge set lowers this sum or the number of rows.
+                weight=F.sum((hi.cast("decimal(20,0)") + lo).cast("decimal(38,0)")),
+            )
+        finally:
+            spread.unpersist()
         changed = (n, weight) != (after["edges"], after["weight"])
         n, weight = after["edges"], after["weight"]
         if rounds or self_pairs is None:
@@ -121,7 +136,9 @@ def _by_stars(pairs: DataFrame, work: Workspace, max_rounds: int | None, hot_row
     return Components(stars.star_labels(rows, self_pairs), rounds, work)
 
 
-def _by_propagation(pairs: DataFrame, work: Workspace, max_rounds: int | None, every: int):
+def _by_propagation(
+    pairs: DataFrame, work: Workspace, max_rounds: int | None, every: int
+) -> Components:
     known = pairs.where(F.col("page_a").isNotNull() & F.col("page_b").isNotNull())
     edge_list, _ = work.store(graph.edges(known), "edges")
     labels, start = work.store(

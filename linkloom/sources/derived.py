@@ -10,7 +10,15 @@ from pyspark.sql import SparkSession
 
 from linkloom.sources.tables import LinkTables, conform
 
-INPUTS = ("region", "supplier", "part", "orders", "lineitem")
+# Columns read from each input.
+INPUTS: dict[str, str] = {
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_orderstatus string, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, "
+    "l_returnflag string, l_linestatus string",
+}
 
 # Ids: parts keep theirs; orders start at 1e12, talk pages at 2e12, portals at
 # 3e12. Link target ids start at 4e12 (parts), 5e12 (orders), 6e12 (portals),
@@ -95,7 +103,10 @@ SELECT p_partkey, CAST(0 AS BIGINT), 4000000000000 + p_partkey FROM {part} WHERE
 
 def derived_tables(spark: SparkSession, folder: str) -> LinkTables:
     """The four link tables from the Parquet tables in ``folder``, lazily."""
-    inputs = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in INPUTS}
+    inputs = {
+        name: spark.read.schema(columns).parquet(f"{folder}/{name}.parquet")
+        for name, columns in INPUTS.items()
+    }
     frames = {}
     for name, text in DERIVED_SQL.items():
         used = {k: v for k, v in inputs.items() if "{" + k + "}" in text}

@@ -1,0 +1,228 @@
+"""Connected components and their statistics."""
+
+import os
+import random
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from linkloom import connected_components
+from linkloom.operators import graph, propagation, stars, stats
+from linkloom.operators.links import ascending_links
+from linkloom.plans.mutual import mutual_link_steps, mutual_links
+
+METHODS = ["star", "min_label"]
+
+
+def pairs_of(spark, pairs):
+    return spark.createDataFrame(list(pairs), "page_a long, page_b long")
+
+
+def union_find(pairs):
+    parent = {}
+
+    def root(v):
+        parent.setdefault(v, v)
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in pairs:
+        if a is not None and b is not None:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    return sorted((v, root(v)) for v in parent)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_ten_rows(ten, method):
+    run = connected_components(mutual_links(ten), method=method)
+    assert rows(run.vertices) == [(1, 1), (3, 1), (6, 6), (10, 6)]
+    assert len(run.rounds) == 2
+    ascending = ascending_links(mutual_link_steps(ten)["page_links"])
+    assert rows(connected_components(ascending, method=method).vertices) == [
+        (1, 1), (2, 2), (3, 1), (4, 4), (5, 5), (6, 4), (7, 5), (8, 2), (10, 4),
+    ]
+
+
+SHAPES = {
+    "empty": [],
+    "unknown ends": [(None, 1), (2, None), (None, None)],
+    "self only": [(4, 4)],
+    "self and more": [(4, 4), (5, 4), (9, 9)],
+    "repeated, both ways": [(1, 2), (2, 1), (1, 2)],
+    "path": [(i, i + 1) for i in range(9)],
+    "shuffled path": [(i * 7 % 17, (i + 1) * 7 % 17) for i in range(16)],
+    "star, low centre": [(0, i) for i in range(1, 60)],
+    "star, high centre": [(i, 99) for i in range(60)],
+    "clique": [(a, b) for a in range(9) for b in range(a)],
+    "negative and large ids": [(-5, 3), (3, 2**62), (-7, -6), (2**62, 2**62 + 1)],
+}
+
+
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("shape", SHAPES)
+def test_shapes(spark, method, shape):
+    pairs = SHAPES[shape]
+    run = connected_components(pairs_of(spark, pairs), method=method)
+    assert rows(run.vertices) == union_find(pairs)
+    assert run.round_metrics().columns == ["round", "changed", "seconds"]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 20])
+@pytest.mark.parametrize("shape", ["shuffled path", "star, low centre", "star, high centre"])
+def test_hot_vertices_take_their_own_way(spark, shape, hot_rows):
+    pairs = SHAPES[shape]
+    run = connected_components(pairs_of(spark, pairs), hot_rows=hot_rows)
+    assert rows(run.vertices) == union_find(pairs)
+
+
+def test_random_graphs_with_a_hub(spark):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)]
+    pairs += [(250, v) for v in rng.sample(range(300), 90)]
+    want = union_find(pairs)
+    frame = pairs_of(spark, pairs)
+    for options in ({"hot_rows": 10}, {"method": "min_label"}):
+        assert rows(connected_components(frame, **options).vertices) == want
+
+
+@settings(
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30),
+    st.sampled_from(METHODS),
+    st.randoms(use_true_random=False),
+)
+def test_any_graph(spark, pairs, method, rng):
+    labels = rows(connected_components(pairs_of(spark, pairs), method=method).vertices)
+    assert labels == union_find(pairs)
+    label = dict(labels)
+    assert all(label[a] == label[b] for a, b in pairs)
+    turned = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in pairs]
+    rng.shuffle(turned)
+    again = connected_components(pairs_of(spark, turned), method=method, hot_rows=4)
+    assert rows(again.vertices) == labels
+
+
+def test_star_needs_few_rounds_on_a_path(spark):
+    run = connected_components(pairs_of(spark, [(i, i + 1) for i in range(200)]))
+    assert len(run.rounds) <= 9
+    assert run.component_stats.collect() == [(0, 201)]
+
+
+def test_min_label_rounds_are_synchronous(spark):
+    run = connected_components(pairs_of(spark, [(1, 2), (2, 3), (3, 4)]), method="min_label")
+    assert rows(run.round_metrics(), "round", "changed") == [(0, 3), (1, 2), (2, 1), (3, 0)]
+
+
+@pytest.mark.parametrize("every", [2, 3, 5])
+def test_checkpoint_interval_changes_nothing(spark, every):
+    pairs = pairs_of(spark, SHAPES["path"][:6])
+    run = connected_components(pairs, method="min_label", checkpoint_every=every)
+    assert rows(run.vertices) == union_find(SHAPES["path"][:6])
+    assert [r.changed for r in run.rounds] == list(range(6, -1, -1))
+
+
+def test_one_round_and_changes(spark):
+    edge_list = graph.edges(pairs_of(spark, [(1, 2), (2, 3), (7, 5)]))
+    assert rows(edge_list) == [(1, 2), (2, 1), (2, 3), (3, 2), (5, 7), (7, 5)]
+    assert rows(graph.graph_counts(edge_list)) == [(6, 5)]
+    assert rows(graph.graph_counts(edge_list.limit(0))) == [(0, 0)]
+    labels = graph.vertices(edge_list)
+    assert rows(labels) == [(v, v) for v in (1, 2, 3, 5, 7)]
+    after = propagation.propagate(edge_list, propagation.start_labels(labels))
+    assert rows(after, "vertex", "component") == [(1, 1), (2, 1), (3, 2), (5, 5), (7, 5)]
+    assert rows(propagation.changed_count(after)) == [(3,)]
+
+
+def test_star_steps_never_add_rows(spark):
+    rng = random.Random(11)
+    pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(150)]
+    edge_rows = stars.pair_edges(pairs_of(spark, pairs)).where("hi != lo").distinct().persist()
+    for limit in (None, 5):
+        large = stars.large_star(edge_rows, limit)
+        small = stars.small_star(edge_rows, limit)
+        assert large.count() == edge_rows.count()
+        assert small.count() <= edge_rows.count()
+        assert large.where("hi <= lo").count() == small.where("hi <= lo").count() == 0
+    assert rows(stars.large_star(edge_rows, 5)) == rows(stars.large_star(edge_rows))
+    assert rows(stars.small_star(edge_rows, 5)) == rows(stars.small_star(edge_rows))
+
+
+def test_hot_keys_are_bounded():
+    assert stars.hot_limit(10) == stars.HOT_ROWS
+    rows_in = 10**13
+    assert rows_in / stars.hot_limit(rows_in) <= stars.MAX_HOT_KEYS
+
+
+def test_statistics_and_ties(spark):
+    pairs = [(1, 2), (3, 4), (4, 5), (20, 21), (21, 22)]
+    run = connected_components(pairs_of(spark, pairs))
+    assert rows(run.component_stats) == [(1, 2), (3, 3), (20, 3)]
+    top = stats.top_components(run.component_stats, 2).collect()
+    assert [tuple(r) for r in top] == [(3, 3), (20, 3)]
+    assert rows(run.largest_component_vertices) == [(3, 3), (4, 3), (5, 3)]
+    assert rows(stats.first_members(run.largest_component_vertices, 2)) == [(3, 3), (4, 3)]
+
+
+def test_empty_graph_has_empty_statistics(spark):
+    run = connected_components(pairs_of(spark, []))
+    assert rows(run.component_stats) == []
+    assert rows(stats.top_components(run.component_stats)) == []
+    assert rows(run.largest_component_vertices) == []
+    assert rows(stats.component_members(run.vertices)) == []
+
+
+def test_members_come_in_bounded_rows(spark):
+    labels = spark.range(2500).selectExpr("id as vertex", "id % 2 as component")
+    got = stats.component_members(labels, block=100).collect()
+    assert max(len(r["members"]) for r in got) <= 100
+    for component in (0, 1):
+        members = [
+            v
+            for r in sorted(got, key=lambda r: r["id_block"])
+            if r["component"] == component
+            for v in r["members"]
+        ]
+        assert members == list(range(component, 2500, 2))
+
+
+def test_unsettled_run_fails_and_cleans_up(spark, tmp_path):
+    pairs = pairs_of(spark, SHAPES["path"])
+    for method in METHODS:
+        with pytest.raises(RuntimeError):
+            connected_components(
+                pairs, method=method, max_rounds=2, checkpoint_dir=str(tmp_path)
+            )
+    assert os.listdir(tmp_path) == []
+
+
+def test_bad_arguments(spark):
+    pairs = pairs_of(spark, [])
+    with pytest.raises(ValueError):
+        connected_components(pairs, method="magic")
+    with pytest.raises(ValueError):
+        connected_components(pairs, method="star", checkpoint_every=3)
+    with pytest.raises(ValueError):
+        connected_components(pairs, method="min_label", checkpoint_every=100)
+
+
+def test_runs_do_not_share_folders(spark, tmp_path):
+    pairs = pairs_of(spark, [(1, 2)])
+    first = connected_components(pairs, checkpoint_dir=str(tmp_path))
+    second = connected_components(pairs_of(spark, [(3, 4)]), checkpoint_dir=str(tmp_path))
+    assert len(os.listdir(tmp_path)) == 2
+    assert rows(first.vertices) == [(1, 1), (2, 1)]
+    first.workspace.drop()
+    assert rows(second.vertices) == [(3, 3), (4, 3)]
+    assert len(os.listdir(tmp_path)) == 1
+
+
+def test_superseded_tables_are_dropped(spark, tmp_path):
+    pairs = pairs_of(spark, SHAPES["path"])
+    for method, left in (("star", 1), ("min_label", 2)):
+        run = connected_components(pairs, method=method, checkpoint_dir=str(tmp_path / method))
+        assert len(os.listdir(run.workspace.folder)) == left
