@@ -52,16 +52,17 @@ def frequent_pairs(frequencies: DataFrame) -> DataFrame:
 def mutual_from_links(links: DataFrame) -> DataFrame:
     """Pairs linked both ways, from links that may repeat, in one shuffle.
 
-    Two flags per pair note which directions were seen, so repeated links need
-    no ``distinct`` of their own. Links to oneself and links with an unknown
-    end cannot be mutual and never enter the shuffle.
+    One bit per direction notes what was seen, so repeated links need no
+    ``distinct`` of their own. Links to oneself and links with an unknown end
+    cannot be mutual and never enter the shuffle.
     """
     a, b = F.col("page_a"), F.col("page_b")
+    upward, downward = F.lit(1).cast("tinyint"), F.lit(2).cast("tinyint")
     return (
         links.where(a != b)
         .groupBy(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
-        .agg(F.bool_or(a < b).alias("upward"), F.bool_or(a > b).alias("downward"))
-        .where(F.col("upward") & F.col("downward"))
+        .agg(F.bit_or(F.when(a < b, upward).otherwise(downward)).alias("directions"))
+        .where(F.col("directions") == upward + downward)
         .select(F.col("lo").alias("page_a"), F.col("hi").alias("page_b"))
     )
 
