@@ -7,7 +7,13 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from linkloom import connected_components, load_tables, mutual_link_steps, mutual_links
+from linkloom import (
+    connected_components,
+    load_tables,
+    mutual_link_steps,
+    mutual_links,
+    tables_from_catalog,
+)
 from linkloom.operators import graph, links, propagation, redirects, stars
 from linkloom.operators.selflinks import resolved_targets
 from linkloom.plans.mutual import self_link_steps
@@ -47,6 +53,19 @@ def test_link_table_is_shuffled_once_and_pairs_once(stored, conf):
     assert "Cartesian" not in plan(mutual_links(stored))
 
 
+def test_bucketed_link_table_is_not_shuffled(spark, ten, conf):
+    """A catalog table bucketed by target keeps its partitioning up to the join."""
+    conf(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    writer = ten.pagelinks.write.mode("overwrite").bucketBy(2, "pl_target_id")
+    writer.sortBy("pl_target_id").saveAsTable("bucketed_links")
+    ten.register()
+    tables = tables_from_catalog(spark, {"pagelinks": "bucketed_links"})
+    assert rows(mutual_links(tables)) == [(1, 3), (6, 10)]
+    assert "hashpartitioning(pl_target_id" not in plan(mutual_links(tables))
+    assert "hashpartitioning(pl_target_id" in plan(mutual_links(ten))
+    spark.sql("DROP TABLE bucketed_links")
+
+
 def test_edges_run_the_plan_behind_the_pairs_once(stored, conf):
     conf(adaptive__enabled="false")
     assert plan(graph.edges(mutual_links(stored))).count("pl_target_id:bigint>") == 1
@@ -114,6 +133,38 @@ def test_hot_link_target_is_split(spark, skew_shows):
     assert found.count() == 60_000
 
 
+@pytest.mark.parametrize("short", [True, False])
+def test_hot_redirect_title_is_split(spark, skew_shows, conf, tmp_path, short):
+    """A third of all pages redirect to one title.
+
+    A partition is split between the tasks that wrote it, so the small stages
+    before must not shrink to one task.
+    """
+    conf(adaptive__coalescePartitions__enabled="false")
+    title = "concat('t', id)"
+    given = {
+        "page": ["id as page_id", f"{title} as page_title", "0L as page_namespace",
+                 "id > 0 as page_is_redirect"],
+        "redirect": ["id as rd_from", "concat('t', if(id % 3 = 0, 0, id)) as rd_title"],
+        "linktarget": ["id as lt_id", f"{title} as lt_title", "0L as lt_namespace"],
+    }
+    frames = {}
+    for name, columns in given.items():
+        spark.range(60_000).selectExpr(*columns).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    if short:
+        resolved = redirects.resolve_targets(**frames)
+    else:
+        pages = redirects.main_pages(frames["page"])
+        redirected = redirects.page_redirects(pages, frames["redirect"])
+        targets = redirects.link_targets(redirected, frames["linktarget"])
+        resolved = redirects.resolved_links(redirects.effective_titles(targets), pages)
+    found = resolved.collect()
+    assert len(found) == 60_000
+    assert sum(r["page_id"] == 0 for r in found) == 20_000
+    assert "skew=true" in plan(resolved)
+
+
 def test_hot_sender_is_split(spark, skew_shows, tmp_path):
     hot(spark).selectExpr("k as src", "v as dst").write.parquet(str(tmp_path / "e"))
     spark.range(60_000).selectExpr("id as vertex", "id as component", "true as changed").write.parquet(
