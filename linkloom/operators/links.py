@@ -49,6 +49,14 @@ def frequent_pairs(frequencies: DataFrame) -> DataFrame:
     )
 
 
+def unpacked_pairs(frequencies: DataFrame) -> DataFrame:
+    """Pairs that were seen in both directions, from counted pair arrays."""
+    first, second = F.col("sorted_pair")[0], F.col("sorted_pair")[1]
+    return frequencies.where((F.col("frequency") > 1) & second.isNotNull()).select(
+        first.alias("page_a"), second.alias("page_b")
+    )
+
+
 def mutual_from_links(links: DataFrame) -> DataFrame:
     """Pairs linked both ways, from links that may repeat, in one shuffle.
 

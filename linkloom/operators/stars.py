@@ -10,10 +10,11 @@ Vertices with many edges. The lookups below are joins on one end of an edge,
 and a single vertex may hold a large share of all rows there. Keys with more
 than ``hot_limit`` rows are looked up by broadcast and their rows are spread
 over the shuffle by the other end. There are at most rows / hot_limit such
-keys, which bounds the broadcast.
+keys, which bounds the broadcast. With no more rows than that in all, no key
+can be hot, and shorter plans do.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000_000
@@ -32,10 +33,11 @@ def pair_edges(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int | None) -> Column:
-    """``rows`` with ``least`` from ``table`` (vertex, least, load); NULL without an entry."""
-    if limit is None:
-        return rows.join(table.select("vertex", "least"), F.col(key) == F.col("vertex"), "left")
+def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with ``least`` from ``table`` (vertex, least, load, useful).
+
+    ``least`` is NULL without an entry, or where the entry is not ``useful``.
+    """
     hot = table.where(F.col("load") > limit).select(
         F.col("vertex").alias("hot_vertex"), F.col("least").alias("hot_least")
     )
@@ -53,42 +55,44 @@ def large_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Re-attach the larger end of every edge to the least neighbour of its smaller end.
 
     Rows may repeat in the result. ``limit`` is the hot-key limit; None says
-    that no key can be hot, because there are too few rows.
+    that there are no more rows than that, so no key can be hot.
     """
     least = edge_rows.groupBy(F.col("hi").alias("vertex")).agg(F.min("lo").alias("least"))
-    if limit is not None:
+    if limit is None:
+        found = edge_rows.join(least, F.col("lo") == F.col("vertex"), "left")
+    else:
         load = edge_rows.groupBy(F.col("lo").alias("vertex")).agg(F.count("*").alias("load"))
-        least = load.join(least, "vertex", "left").select(
-            "vertex", "least", "load", F.col("least").isNotNull().alias("useful")
+        table = load.join(least, "vertex", "left").withColumn(
+            "useful", F.col("least").isNotNull()
         )
-    return _look_up(edge_rows, "lo", "hi", least, limit).select(
-        "hi", F.coalesce("least", "lo").alias("lo")
-    )
+        found = _look_up(edge_rows, "lo", "hi", table, limit)
+    return found.select("hi", F.coalesce("least", "lo").alias("lo"))
 
 
 def small_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Attach every vertex, and its smaller neighbours, to the least of these.
 
     The row that holds a vertex's least neighbour stays, every other row moves
-    down to join that neighbour and the one it held. Reads ``edge_rows`` twice:
-    keep them. The result has no repeated rows.
+    down to join that neighbour and the one it held. The result has no repeated
+    rows. With a ``limit``, ``edge_rows`` is read twice: keep it. Without one,
+    the rows of a vertex are few enough for a window, which reads it once.
     """
-    least = edge_rows.groupBy(F.col("hi").alias("vertex")).agg(
-        F.min("lo").alias("least"), F.count("*").alias("load")
-    )
-    # A vertex with one row has no second neighbour to move.
-    table = least.withColumn("useful", F.col("load") > 1)
     if limit is None:
-        table = table.where("useful")
-    moves = F.col("lo") > F.col("least")
-    return (
-        _look_up(edge_rows, "hi", "lo", table, limit)
-        .select(
-            F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
-            F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
+        least = F.min("lo").over(Window.partitionBy("hi"))
+        found = edge_rows.select("hi", "lo", least.alias("least"))
+    else:
+        # A vertex with one row has no second neighbour to move.
+        table = (
+            edge_rows.groupBy(F.col("hi").alias("vertex"))
+            .agg(F.min("lo").alias("least"), F.count("*").alias("load"))
+            .withColumn("useful", F.col("load") > 1)
         )
-        .distinct()
-    )
+        found = _look_up(edge_rows, "hi", "lo", table, limit)
+    moves = F.col("lo") > F.col("least")
+    return found.select(
+        F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
+        F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
+    ).distinct()
 
 
 def star_labels(edge_rows: DataFrame, self_pairs: DataFrame | None = None) -> DataFrame:

@@ -73,7 +73,7 @@ def connected_components(
     are kept in executor memory and disk, which saves files but may cost a
     recomputation. ``max_rounds`` fails the run when passed, as labels would be
     wrong then. ``hot_rows`` is the number of edges
-    from which a vertex is treated apart in ``star``.
+    from which a vertex is treated apart in ``star``: what one task takes with ease.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
@@ -115,7 +115,9 @@ def _by_stars(
         started = time.monotonic()
         limit = stars.hot_limit(n, hot_rows)
         limit = limit if n > limit else None
-        spread = stars.large_star(rows, limit).persist(StorageLevel.MEMORY_AND_DISK)
+        spread = stars.large_star(rows, limit)
+        if limit is not None:
+            spread.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows, after = work.store(
                 stars.small_star(spread, limit),

@@ -30,6 +30,7 @@ def mutual_link_steps(tables: LinkTables, register: bool = False) -> dict[str, D
     page_links = links.page_links(resolved, tables.pagelinks)
     pairs = links.sorted_pairs(page_links)
     frequencies = links.pair_frequencies(pairs)
+    # The names under which callers know the relations.
     return _registered(
         {
             "filtered_pages": pages,
@@ -51,6 +52,7 @@ def self_link_steps(tables: LinkTables, register: bool = False) -> dict[str, Dat
     targets = selflinks.target_pages(tables.linktarget, tables.page)
     redirected = selflinks.target_redirects(targets, tables.redirect)
     resolved = selflinks.resolved_targets(redirected, tables.page)
+    # The names under which callers know the relations.
     return _registered(
         {
             "lt_page": targets,

@@ -105,15 +105,18 @@ one_round AS (
     labels = _on_components("SELECT vertex, component FROM labels")
     return {
         "q01_main_pages": _with(f"{pages} fp", "fp"),
+        "q01_main_pages_sql": _with(f"{pages} fp", "fp"),
         "q02_page_redirects": _with("SELECT * FROM pr", "pr"),
         "q03_link_targets": _with("SELECT * FROM lt", "lt"),
         "q04_effective_titles": _with("SELECT * FROM titles", "titles"),
         "q05_resolved_links": _with("SELECT * FROM resolved", "resolved"),
         "q06_page_links": _with("SELECT * FROM links", "links"),
         "q07_sorted_pairs": _with("SELECT * FROM sorted_pairs", "sorted_pairs"),
+        "q07_sorted_pair_arrays": _with("SELECT * FROM sorted_pairs", "sorted_pairs"),
         "q08_pair_frequencies": _with("SELECT * FROM frequencies", "frequencies"),
         "q09_mutual_links": _with("SELECT * FROM mutual", "mutual"),
         "q09_mutual_links_by_steps": _with("SELECT * FROM mutual", "mutual"),
+        "q09_mutual_links_by_arrays": _with("SELECT * FROM mutual", "mutual"),
         "q10_mutual_count": _with("SELECT count(*) AS n FROM mutual", "mutual"),
         "q11_edges": _with(both_ways, "mutual"),
         "q11_graph_counts": _with(
@@ -156,6 +159,7 @@ one_round AS (
             "WHERE round >= 0 GROUP BY round"
         ),
         "q23_jsonl_load": _with(f"{pages} page", "page"),
+        "q23_step_views": _with("SELECT * FROM mutual", "mutual"),
         "q23_views_by_name": _with("SELECT * FROM mutual", "mutual"),
         "v1_lt_page": _with("SELECT * FROM v1_page", "v1_page"),
         "v1_lt_redirect": _with("SELECT * FROM v1_redirect", "v1_redirect"),

@@ -196,6 +196,7 @@ def test_pair_forms_agree(spark):
     assert rows(pair_frequencies(pairs)) == [(1, 2, 2), (3, 3, 1), (4, None, 2), (None, None, 1)]
     by_array = pair_frequencies(sorted_pair_arrays(frame), "sorted_pair")
     assert sorted(r["frequency"] for r in by_array.collect()) == [1, 1, 2, 2]
+    assert rows(links.unpacked_pairs(by_array)) == [(1, 2)]
     assert rows(mutual_from_links(frame)) == [(1, 2)]
 
 
