@@ -71,7 +71,7 @@ def tables_from_catalog(
 ) -> LinkTables:
     """Take the tables from registered views or catalog tables.
 
-    ``names`` overrides single table names, for instance ``{"page": "wiki.page"}``.
+    ``names`` overrides single table names, for instance ``{"page": "crawl.page"}``.
     """
     names = names or {}
     return LinkTables(
