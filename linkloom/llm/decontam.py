@@ -163,6 +163,7 @@ def decontaminate(
     rarest: int = RAREST,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry=(),
 ) -> DataFrame:
     """Words of each document inside any occurrence of a benchmark window.
 
@@ -172,13 +173,20 @@ def decontaminate(
 
     NULL and empty texts have no words: a document is clean, an item finds
     nothing. Rows that share an id are judged each by its own text, NULL ids too. Items
-    without an id hit but are not listed. Other columns are not read.
+    without an id hit but are not listed. Columns named in ``carry`` come along as they are,
+    others are not read.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = find_windows(own, items.select("item_id", "text"), window, rarest)
+    extra = [f"carry_{i}" for i in range(len(carry))]
+    own = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        *(F.col(c).alias(e) for c, e in zip(carry, extra)),
+    )
+    texts = own.select("doc_id", "text")
+    found = find_windows(texts, items.select("item_id", "text"), window, rarest)
     rows = own.join(
         found.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left"
-    ).select("doc_id", terms(F.col("text")).alias("words"), "found")
+    ).select("doc_id", terms(F.col("text")).alias("words"), "found", *extra)
 
     def same(passage, spot):
         length = F.least(F.size(passage["words"]), F.lit(window))
@@ -211,10 +219,13 @@ def decontaminate(
         )
     )
     listed = F.array_sort(F.array_distinct(F.flatten(F.transform("exact", lambda p: p["items"]))))
-    return rows.select("doc_id", F.size("words").alias("n_words"), exact.alias("exact")).select(
+    return rows.select(
+        "doc_id", F.size("words").alias("n_words"), exact.alias("exact"), *extra
+    ).select(
         F.col("doc_id").alias(id_col),
         F.col("n_words").cast("long"),
         F.size(covered).cast("long").alias("n_hit"),
         listed.alias("items"),
         (F.size("exact") > 0).alias("contaminated"),
+        *(F.col(e).alias(c) for c, e in zip(carry, extra)),
     )

@@ -1,8 +1,15 @@
 """Registered queries over whole tables, and their SQL where SQL can express them."""
 
+import hashlib
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import decontam, repeats, simhash, urls
+from linkloom.llm import chat, decontam, langid, lines, lm, pieces, quality, repeats, simhash, urls
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 # The rules that the URL query applies, as (action, host, path).
 URL_RULES = [
@@ -24,6 +31,90 @@ def _joined_sha(ids):
     return F.sha2(F.array_join(ids, ","), 256)
 
 
+def _remainder(doc_id, by: int):
+    return F.crc32(F.col(doc_id).cast("string")) % by
+
+
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every document, learnt from all of them."""
+    return quality.classify(_read(spark, folder, "documents"))
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of ids and decoded text of every document."""
+    return pieces.encode_and_decode(_read(spark, folder, "documents"), PIECE_MODEL)
+
+
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document; one remainder in seven is held out."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
+    scored = lm.score_texts(docs, docs.where(~held_out), PIECE_MODEL)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document; one remainder in three is held out."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    book = langid.train_codebook(docs.where(~held_out & F.col("lang").isNotNull()))
+    found = langid.identify(docs, book)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op7_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from what formatting gives."""
+    rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    made = chat.format_chats(rows.unionByName(added), CHAT_TOKENIZER)
+
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], [], []]
+            names = ("formatted", "token_starts", "token_ends", "loss_mask", "spans")
+            for text, starts, ends, mask, spans in zip(
+                *(batch.column(n).to_pylist() for n in names)
+            ):
+                turns = chat.read_back(text)
+                lines_of = "".join(f"{role}\n{said}\n" for role, said in turns)
+                under = "".join(
+                    chat.loss_pieces(text, starts, ends, mask, [(s["from"], s["to"]) for s in spans])
+                )
+                out[0].append(len(turns))
+                out[1].append(hashlib.sha256(lines_of.encode()).hexdigest())
+                out[2].append(len(under))
+                out[3].append(hashlib.sha256(under.encode()).hexdigest())
+                out[4].append(len(text))
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv_id"), *(pa.array(c, k) for c, k in zip(out, kinds))],
+                ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+            )
+
+    return made.mapInArrow(
+        run,
+        "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+        "loss_sha256 string, formatted_chars bigint",
+    )
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return lines.judge_lines(_read(spark, folder, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words that each document keeps."""
     kept = repeats.remove_repeats(_read(spark, folder, "documents"))
@@ -92,6 +183,22 @@ _TERMS = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+# Fixed value: the row that the chat query adds to the conversations, twice.
+OP7_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+t AS (SELECT *, regexp_replace(text, '(\\*)(###|</turn>)', '\\\1\2', 'g') AS safe FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + length(role) + 2 + length(safe) + 9) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 OP8_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_TERMS} AS w FROM benchmark),
@@ -159,13 +266,24 @@ FROM c LEFT JOIN listed ON c.canonical = listed.canonical
 def llm_queries():
     """Queries by name."""
     return {
+        "op1_quality": op1_quality,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_lm_scoring": op4_lm_scoring,
+        "op5_language_id": op5_language_id,
         "op6_simhash": op6_simhash,
+        "op7_chat_formatting": op7_chat_formatting,
         "op8_decontamination": op8_decontamination,
+        "op9_quality_rules": op9_quality_rules,
         "op10_url_filters": op10_url_filters,
     }
 
 
 def llm_oracle_sql():
     """SQL by query name."""
-    return {"op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL, "op10_url_filters": OP10_SQL}
+    return {
+        "op3_substring_dedup": OP3_SQL,
+        "op7_chat_formatting": OP7_SQL,
+        "op8_decontamination": OP8_SQL,
+        "op10_url_filters": OP10_SQL,
+    }

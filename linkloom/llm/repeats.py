@@ -198,7 +198,7 @@ def repeated_stretches(
     spark = docs.sparkSession
     work = Workspace(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    known = docs.where(F.col("doc_id").isNotNull())
+    known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", "tag")
     met = (
         _seeds(known, id_type, length, anchor)
         .groupBy("seed")
@@ -261,6 +261,7 @@ def remove_repeats(
     anchor: int = ANCHOR,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry=(),
 ) -> DataFrame:
     """Every document without the words that repeat a document with a smaller id.
 
@@ -271,10 +272,14 @@ def remove_repeats(
 
     NULL and empty texts have no words (kept is empty, kept_text as it was). Rows that share an id
     are no smaller than each other; each is judged by its own text. A row without id
-    neither loses words nor makes others lose them. Other columns are not read.
+    neither loses words nor makes others lose them. Columns named in ``carry`` come
+    along as they are, others are not read.
     """
     own = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.hash(text_col).alias("tag")
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.hash(text_col).alias("tag"),
+        *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)),
     )
     id_type = own.schema["doc_id"].dataType.simpleString()
     spans = (
@@ -283,7 +288,9 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("pos", "size")).alias("spans"))
     )
     matched = (F.col("doc_id") == F.col("__doc")) & (F.col("tag") == F.col("__tag"))
-    rows = own.join(spans, matched, "left").select("doc_id", "text", "spans")
+    extra = [c for c in own.columns if c.startswith("carry_")]
+    rows = own.join(spans, matched, "left").select("doc_id", "text", "spans", *extra)
+    extra_types = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in extra)
 
     def run(batches):
         for part in slices(batches):
@@ -306,10 +313,13 @@ def remove_repeats(
                     pa.array(columns[1], pa.int64()),
                     pa.array(columns[2], pa.string()),
                     pa.array(columns[3], pa.string()),
+                    *(part.column(c) for c in extra),
                 ],
-                ["doc_id", "n_words", "n_removed", "kept", "kept_text"],
+                ["doc_id", "n_words", "n_removed", "kept", "kept_text", *extra],
             )
 
-    return rows.mapInArrow(
-        run, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string, kept_text string"
-    ).withColumnRenamed("doc_id", id_col)
+    made = rows.mapInArrow(
+        run,
+        f"doc_id {id_type}, n_words bigint, n_removed bigint, kept string, kept_text string{extra_types}",
+    )
+    return made.toDF(id_col, "n_words", "n_removed", "kept", "kept_text", *carry)

@@ -16,7 +16,7 @@ own one-bit neighbours, which two of them share exactly if they differ in at mos
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from linkloom.llm.words import slices, words
 from linkloom.plans.components import connected_components
@@ -230,6 +230,23 @@ def near_duplicates(
     )
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, that are the least of their group.
+
+    Of repeated rows with the least id one stays; so does one of the rows without id, if
+    a group has no others.
+    """
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    least = (
+        groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+        .select(F.col(id_col).alias("__least"))
+        .distinct()
+    )
+    kept = docs.join(least, F.col(id_col).eqNullSafe(F.col("__least")), "left_semi")
+    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    return kept.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+
+
 def fingerprint_hex(fp):
     """A fingerprint column as 16 lowercase hex digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
