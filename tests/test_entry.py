@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+import oracles
 from linkloom.sources.derived import INPUTS, derived_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,12 +23,12 @@ def engine():
 
 
 def test_every_query_has_its_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.link_queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.link_queries())
 def test_query(spark, engine, name):
-    frame = registry.queries()[name](spark, FOLDER)
+    frame = registry.link_queries()[name](spark, FOLDER)
     cursor = engine.execute(registry.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(frame.columns) == sorted(columns)
