@@ -91,6 +91,28 @@ class Attention:
         logs = logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
         return logs, (x, q, k, v, weights, hidden)
 
+    def log_chances(self, ids, first, targets):
+        """Log chance of the target class after each place from ``first`` on: (windows, places).
+
+        The same numbers as ``forward`` gives, with fewer passes: one product for all
+        projections, sums as products with ones, and only the targets' logits kept.
+        """
+        p, (count, n) = self.p, ids.shape
+        x = p["ids"][ids.ravel()] + np.tile(p["spots"][:n], (count, 1))
+        kv = (x @ np.hstack([p["key"], p["value"]])).reshape(count, n, 2 * WIDTH)
+        own = x.reshape(count, n, WIDTH)[:, first:].reshape(-1, WIDTH)
+        q = (own @ (p["query"] * np.float32(WIDTH**-0.5))).reshape(count, n - first, WIDTH)
+        weights = q @ kv[:, :, :WIDTH].transpose(0, 2, 1)
+        np.exp(np.clip(weights, -80, 80, out=weights), out=weights)
+        weights *= self.late[first:n, :n] == 0
+        mixed = (weights @ kv[:, :, WIDTH:]).reshape(-1, WIDTH)
+        mixed /= (weights.reshape(-1, n) @ np.ones(n, np.float32))[:, None]
+        logits = (own + mixed) @ p["out"] + p["bias"]
+        found = logits[np.arange(len(logits)), targets.ravel()]
+        np.exp(np.clip(logits, -80, 80, out=logits), out=logits)
+        found -= np.log(logits @ np.ones(logits.shape[1], np.float32))
+        return found.reshape(count, n - first)
+
     def gradients(self, ids, targets, used):
         """Gradient of the mean log loss over the used places of full windows."""
         p = self.p
@@ -159,11 +181,11 @@ class Scorer:
         for i in range(0, len(starts), per_pass):
             at = starts[i : i + per_pass, None] + np.arange(WINDOW)
             own, stop = owners[i : i + per_pass], ends[i : i + per_pass]
-            logs, _ = self.model.forward(line[np.minimum(at, len(line) - 1)], first)
             target = at[:, first:] + 1
             real = target < stop[:, None]
             ids = line[np.minimum(target, len(line) - 1)]
-            found = np.take_along_axis(logs, self.kinds[ids][..., None], 2)[..., 0]
+            seen = line[np.minimum(at, len(line) - 1)]
+            found = self.model.log_chances(seen, first, self.kinds[ids])
             found = np.where(real, found / np.log(10) + self.shares[ids], 0)
             sums += np.bincount(own, found.sum(axis=1), len(sums))
 
