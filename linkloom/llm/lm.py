@@ -12,10 +12,11 @@ by word hash. The most frequent words, a bounded number, go to all tasks, which
 score them on the spot; the others are looked up in the table of counts by a join.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-import sentencepiece
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.llm.pieces import ChunkTable, load
 from linkloom.llm.words import flat_words, hash_words, slices
@@ -30,6 +31,7 @@ TRAIN_ROUNDS, TRAIN_WINDOWS, RATE = 300, 128, 0.01
 FREQUENT = 300_000
 BLOCK_BYTES = 4 << 20
 NUMBERS_PER_PASS = 1 << 17
+ROWS_PER_PASS = 500
 END = np.uint64(0)
 
 
@@ -232,33 +234,58 @@ def _word_counts(train: DataFrame) -> DataFrame:
     )
 
 
-def _id_counts(train: DataFrame, model_file: str) -> np.ndarray:
-    """Count of every subword id over all training texts: one row per id."""
+def pack_ids(ids):
+    """Ids below 2 ** 32 as deflated bytes, bytes of equal weight together."""
+    planes = np.asarray(ids).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def unpack_ids(data):
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
+    """(doc_id, tag, learn, ids) of every text; ids are packed."""
 
     def run(batches):
         model = load(model_file)
-        sums = np.zeros(model.get_piece_size(), np.int64)
         for part in slices(batches, limit=BLOCK_BYTES):
-            ids = subword_ids(part.column("text").to_pylist(), model)
-            sums += np.bincount(np.concatenate(ids), minlength=len(sums))
+            packed = [pack_ids(ids) for ids in subword_ids(part.column("text").to_pylist(), model)]
+            columns = [part.column(c) for c in ("doc_id", "tag", "learn")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(packed, pa.binary())], ["doc_id", "tag", "learn", "ids"]
+            )
+
+    return own.mapInArrow(run, f"doc_id {id_type}, tag int, learn boolean, ids binary")
+
+
+def _id_counts(subwords: DataFrame, size: int) -> np.ndarray:
+    """Count of every subword id over all training texts: one row per id."""
+
+    def run(batches):
+        sums = np.zeros(size, np.int64)
+        for batch in batches:
+            for packed in batch.column("ids").to_pylist():
+                sums += np.bincount(unpack_ids(packed), minlength=size)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["id", "n"])
 
     table = (
-        train.select("text").mapInArrow(run, "id bigint, n bigint")
+        subwords.where("learn").select("ids").mapInArrow(run, "id bigint, n bigint")
         .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     )
-    counts = np.zeros(sentencepiece.SentencePieceProcessor(model_file=model_file).get_piece_size())
+    counts = np.zeros(size)
     counts[table["id"].to_numpy()] = table["n"].to_numpy()
     return counts
 
 
-def train_model(train: DataFrame, model_file: str, train_docs: int = TRAIN_DOCS) -> Scorer:
-    """Classes from the counts of all of ``train`` (doc_id, text); attention on a bounded sample."""
-    counts = _id_counts(train, model_file)
+def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs: int = TRAIN_DOCS) -> Scorer:
+    """Classes from the ids of all texts to learn from; attention on a bounded sample of them."""
     model = load(model_file)
+    counts = _id_counts(subwords, model.get_piece_size())
     kinds, shares = id_classes(counts, [model.id_to_piece(i) for i in range(len(counts))])
-    short = train.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
+    short = own.where(F.col("learn") & (F.length("text") <= TRAIN_CHARS))
     picked = short.select("text", F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie"))
     texts = picked.orderBy("__order", "__tie").limit(train_docs).toArrow()["text"].to_pylist()
     attention = Attention(len(counts))
@@ -268,7 +295,7 @@ def train_model(train: DataFrame, model_file: str, train_docs: int = TRAIN_DOCS)
 
 def score_texts(
     docs: DataFrame,
-    train: DataFrame,
+    learn: Column,
     model_file: str,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -276,7 +303,7 @@ def score_texts(
 ) -> DataFrame:
     """Base and model score of every document.
 
-    ``train`` (doc_id, text) are the texts to learn from. Returns id, tag (hash of the text), n_tokens (words
+    ``learn`` is true for the rows of ``docs`` to learn from. Returns id, tag (hash of the text), n_tokens (words
     and an end), n_known (tokens that training texts have), train_tokens, base_score (log10, words with one added
     to their counts) and score (the model's log10 chance of the lowered text and its end).
 
@@ -286,12 +313,15 @@ def score_texts(
     """
     spark = docs.sparkSession
     work = Workspace(spark)
-    own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    own = own.select("doc_id", "text", F.hash("text").alias("tag"))
+    own = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(learn, F.lit(False)).alias("learn"),
+    ).withColumn("tag", F.hash("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
-    learnt = train.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    subwords, _ = work.store(_subwords(own, model_file, id_type), "subwords")
     counts, seen = work.store(
-        _word_counts(learnt), "words", tokens=F.coalesce(F.sum("n"), F.lit(0)), kinds=F.count("*")
+        _word_counts(own.where("learn")), "words", tokens=F.coalesce(F.sum("n"), F.lit(0)), kinds=F.count("*")
     )
     n_all, n_kinds = seen["tokens"], seen["kinds"]
     top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
@@ -299,7 +329,7 @@ def score_texts(
     order = np.argsort(words)
     context = spark.sparkContext
     common = context.broadcast((words[order], top["n"].to_numpy()[order]))
-    scorer = context.broadcast(train_model(learnt, model_file))
+    scorer = context.broadcast(train_model(own, subwords, model_file))
 
     def log_share(n):
         return np.log10((n + 1) / (n_all + n_kinds + 1))
@@ -313,74 +343,71 @@ def score_texts(
         found = words[at] == hashes
         return np.where(found, numbers[at], 0), found
 
-    def by_text(batches):
-        model = load(model_file)
-        for part in slices(batches, limit=BLOCK_BYTES):
-            texts = part.column("text").to_pylist()
-            flat, sizes = flat_words(texts, lower=True)
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            n, found = split(hash_words(flat))
-            base = np.bincount(owner[found], log_share(n[found]), len(texts))
-            known = np.bincount(owner[found], minlength=len(texts))
-            end, _ = split(np.array([END]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("tag"),
-                    pa.array(sizes + 1),
-                    pa.array(known + int(end[0] > 0)),
-                    pa.array(base + log_share(end[0])),
-                    pa.array(scorer.value.score(subword_ids(texts, model))),
-                ],
-                ["doc_id", "tag", "n_tokens", "n_known", "base", "score"],
-            )
-
-    def rare_words(batches):
+    def by_model(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_PER_PASS):
+                part = batch.slice(at, ROWS_PER_PASS)
+                ids = [unpack_ids(packed) for packed in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("tag"), pa.array(scorer.value.score(ids))],
+                    ["doc_id", "tag", "score"],
+                )
+
+    def by_words(batches):
+        """Sums over the frequent words of each text, and a row for each other word."""
+        end, _ = split(np.array([END]))
         for part in slices(batches, limit=BLOCK_BYTES):
             flat, sizes = flat_words(part.column("text").to_pylist(), lower=True)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             hashes = hash_words(flat)
-            rare = ~split(hashes)[1]
-            rows = pa.array(owner[rare])
+            n, found = split(hashes)
+            base = np.bincount(owner[found], log_share(n[found]), len(sizes)) + log_share(end[0])
+            known = np.bincount(owner[found], minlength=len(sizes)) + int(end[0] > 0)
+            rare = owner[~found]
+            rows = pa.array(np.concatenate([np.arange(len(sizes)), rare]))
+            pad = pa.nulls(len(rare), pa.int64())
+            whole = [pa.array(sizes + 1), pa.array(known), pa.array(base)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(rows), part.column("tag").take(rows), _long(hashes[rare])],
-                ["doc_id", "tag", "word"],
+                [
+                    part.column("doc_id").take(rows),
+                    part.column("tag").take(rows),
+                    pa.concat_arrays([pa.nulls(len(sizes), pa.int64()), _long(hashes[~found])]),
+                    *(pa.concat_arrays([w, pad.cast(w.type)]) for w in whole),
+                ],
+                ["doc_id", "tag", "word", "n_tokens", "n_known", "base"],
             )
 
     scored, _ = work.store(
-        own.mapInArrow(
-            by_text,
-            f"doc_id {id_type}, tag int, n_tokens bigint, n_known bigint, base double, score double",
-        ),
-        "scored",
+        subwords.mapInArrow(by_model, f"doc_id {id_type}, tag int, score double"), "scored"
+    )
+    parts = own.mapInArrow(
+        by_words,
+        f"doc_id {id_type}, tag int, word bigint, n_tokens bigint, n_known bigint, base double",
     )
-    # Rows that share id and text hold the same words: each once.
-    wanted = own.mapInArrow(rare_words, f"doc_id {id_type}, tag int, word bigint")
     n = F.coalesce("n", F.lit(0))
-    rare = (
-        wanted.join(counts.withColumnRenamed("word", "__word"), F.col("word") == F.col("__word"), "left")
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag"))
-        .agg(
-            F.sum(F.log10((n + 1) / F.lit(float(n_all + n_kinds + 1)))).alias("rare_base"),
-            F.count_if(n > 0).alias("rare_known"),
-        )
+    spread = F.coalesce("word", F.xxhash64("doc_id", "tag"))
+    looked_up = parts.join(
+        counts.withColumnRenamed("word", "__word"),
+        (spread == F.col("__word")) & F.col("word").isNotNull(),
+        "left",
     )
-    rows = scored.groupBy("doc_id", "tag").agg(F.count("*").alias("copies"))
-    rare = rare.join(
-        rows, F.col("__doc").eqNullSafe(F.col("doc_id")) & (F.col("__tag") == F.col("tag"))
-    ).select(
-        "__doc",
-        "__tag",
-        (F.col("rare_base") / F.col("copies")).alias("rare_base"),
-        (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"),
+    rare = F.col("word").isNotNull()
+    summed = looked_up.groupBy(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag")).agg(
+        F.count_if(~rare).alias("copies"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.sum(F.when(rare, (n > 0).cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
+        F.sum(
+            F.when(rare, F.log10((n + 1) / F.lit(float(n_all + n_kinds + 1)))).otherwise(F.col("base"))
+        ).alias("base"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("tag") == F.col("__tag"))
-    return scored.join(rare, same, "left").select(
+    # Rows that share id and text are in one sum, each with the same part.
+    return scored.join(summed, same).select(
         F.col("doc_id").alias(id_col),
         "tag",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        F.expr("n_known div copies").alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+        (F.col("base") / F.col("copies")).alias("base_score"),
         "score",
     )

@@ -49,7 +49,7 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Base and model score of every document; one remainder in seven is held out."""
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
-    scored = lm.score_texts(docs, docs.where(~held_out), PIECE_MODEL)
+    scored = lm.score_texts(docs, ~held_out, PIECE_MODEL)
     return scored.select(
         "doc_id",
         held_out.alias("held_out"),
