@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from linkloom.llm.grams import gram_codes, gram_means
+from linkloom.llm.tables import sample_texts
 from linkloom.llm.words import slices
 
 BUCKETS = 1 << 14
@@ -137,12 +138,8 @@ def train_codebook(train: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Codebook
     rows = np.array([languages.index(x) for x in table["lang"].to_pylist()], np.int64)
     counts[rows, table["bucket"].to_numpy()] = table["n"].to_numpy()
     book = Codebook(languages, counts)
-    short = train.where((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
-    picked = short.select(
-        "text", "lang", F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie")
-    )
-    sample = picked.orderBy("__order", "__tie").limit(sample_docs).select("text", "lang").toArrow()
-    book.weigh(sample["text"].to_pylist(), sample["lang"].to_pylist())
+    sample = [r for r in sample_texts(train, sample_docs, SAMPLE_CHARS, "lang") if r["text"]]
+    book.weigh([r["text"] for r in sample], [r["lang"] for r in sample])
     return book
 
 

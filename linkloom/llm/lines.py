@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from linkloom.llm.tables import sample_texts
 from linkloom.llm.words import flat_words, gram_hashes, hash_words, mix, slices
 
 MIN_WORDS = 50
@@ -204,10 +205,8 @@ def _repeat_words(flat, counts):
 
 def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list:
     """Feature rows of at most ``train_docs`` documents of at most ``TRAIN_CHARS`` characters."""
-    short = docs.where((F.length("text") > 0) & (F.length("text") <= TRAIN_CHARS))
-    picked = short.select("text", F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie"))
-    rows = picked.orderBy("__order", "__tie").limit(train_docs).select("text").toArrow()
-    return [line_features(text.split("\n")) for text in rows["text"].to_pylist()]
+    found = sample_texts(docs, train_docs, TRAIN_CHARS)
+    return [line_features(r["text"].split("\n")) for r in found if r["text"]]
 
 
 def judge_lines(

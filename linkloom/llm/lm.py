@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.llm.pieces import ChunkTable, load
+from linkloom.llm.tables import sample_texts
 from linkloom.llm.words import flat_words, hash_words, slices
 from linkloom.sources.workspace import Workspace
 
@@ -234,15 +235,28 @@ def _word_counts(train: DataFrame) -> DataFrame:
     )
 
 
+def _frequent_from(counts: DataFrame, most: int) -> int:
+    """Least count from which on there are at most ``most`` words, to an eighth of a power of two."""
+    step = F.floor(F.log2("n") * 8).alias("step")
+    sizes = {r.step: r["count"] for r in counts.groupBy(step).count().collect()}
+    least, total = max(sizes, default=0) + 1, 0
+    for step in sorted(sizes, reverse=True):
+        total += sizes[step]
+        if total > most:
+            break
+        least = step
+    return int(np.ceil(2 ** (least / 8)))
+
+
 def pack_ids(ids):
-    """Ids below 2 ** 32 as deflated bytes, bytes of equal weight together."""
-    planes = np.asarray(ids).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    """Ids of two bytes as deflated bytes, bytes of equal weight together."""
+    planes = np.asarray(ids).astype("<u2").view(np.uint8).reshape(-1, 2).T
     return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
 def unpack_ids(data):
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, -1)
+    return np.ascontiguousarray(planes.T).view("<u2").ravel().astype(np.int64)
 
 
 def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
@@ -285,9 +299,7 @@ def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs
     model = load(model_file)
     counts = _id_counts(subwords, model.get_piece_size())
     kinds, shares = id_classes(counts, [model.id_to_piece(i) for i in range(len(counts))])
-    short = own.where(F.col("learn") & (F.length("text") <= TRAIN_CHARS))
-    picked = short.select("text", F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie"))
-    texts = picked.orderBy("__order", "__tie").limit(train_docs).toArrow()["text"].to_pylist()
+    texts = [r["text"] for r in sample_texts(own.where("learn"), train_docs, TRAIN_CHARS)]
     attention = Attention(len(counts))
     attention.train(subword_ids(texts, model) if texts else [], kinds)
     return Scorer(attention, kinds, shares)
@@ -319,12 +331,14 @@ def score_texts(
         F.coalesce(learn, F.lit(False)).alias("learn"),
     ).withColumn("tag", F.hash("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
+    if load(model_file).get_piece_size() > 1 << 16:
+        raise ValueError("ids are stored in two bytes")
     subwords, _ = work.store(_subwords(own, model_file, id_type), "subwords")
     counts, seen = work.store(
         _word_counts(own.where("learn")), "words", tokens=F.coalesce(F.sum("n"), F.lit(0)), kinds=F.count("*")
     )
     n_all, n_kinds = seen["tokens"], seen["kinds"]
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    top = counts.where(F.col("n") >= _frequent_from(counts, frequent)).toArrow()
     words = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
     context = spark.sparkContext

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from linkloom.llm.grams import gram_codes, gram_means
+from linkloom.llm.tables import sample_texts
 from linkloom.llm.words import slices
 
 GOOD, BAD, NONE = 1, 0, 2
@@ -197,9 +198,7 @@ def train(own: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
     patterns = table["pattern"].to_numpy()
     good, accuracy = expectation_maximisation(patterns, table["n"].to_numpy())
     posterior = dict(zip(patterns.tolist(), good.tolist()))
-    short = own.where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
-    picked = short.select("text", F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie"))
-    texts = picked.orderBy("__order", "__tie").limit(train_docs).toArrow()["text"].to_pylist()
+    texts = [r["text"] for r in sample_texts(own, train_docs, TRAIN_CHARS)]
     if not texts:
         return Scorer(posterior, accuracy, np.zeros(BUCKETS + STATS + 1))
     stats, votes = zip(*map(statistics, texts))

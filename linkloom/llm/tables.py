@@ -1,5 +1,7 @@
 """Small helpers around stored tables and joins whose sides may or may not be small."""
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 # Most rows of a side that is sent to every executor: short rows, a few MB.
@@ -20,3 +22,20 @@ def small_or_shuffled(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS)
     Beyond that the join shuffles both sides, with the same result.
     """
     return F.broadcast(frame) if rows <= limit else frame
+
+
+def sample_texts(frame: DataFrame, rows: int, max_chars: int, *extra: str) -> list[dict]:
+    """At most ``rows`` rows of ``frame`` (doc_id, text) on the driver: text and ``extra`` columns.
+
+    Texts have at most ``max_chars`` characters. Taken are the rows with the least hash of their id, so
+    the sample depends on neither order nor partitions. Only rows below a hash that about
+    twice as many rows reach are sorted, however many there are.
+    """
+    fit = frame.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars).select(
+        "text", *extra, F.xxhash64("doc_id").alias("__order"), F.xxhash64("text").alias("__tie")
+    )
+    n = frame.select("doc_id").count()
+    share = min(1.0, (2 * rows + 100) / max(1, n))
+    if share < 1:
+        fit = fit.where(F.col("__order") < math.floor(-(2**63) + share * 2**64))
+    return fit.orderBy("__order", "__tie").limit(rows).select("text", *extra).toArrow().to_pylist()
