@@ -31,6 +31,9 @@ def main(argv: list[str] | None = None) -> None:
     )
     for step in result.rounds:
         print(f"round {step.round}: changed {step.changed} in {step.seconds:.2f} s")
+    pairs = result.mutual_link_count.first()["n"]
+    members = result.largest_component_vertices.count()
+    print(f"{pairs} mutual links; {members} pages in the largest component")
     print(f"results below {args.output}")
 
 

@@ -1,31 +1,72 @@
-"""Minimum-label propagation, one synchronous round at a time."""
+"""Minimum-label propagation, one synchronous round at a time.
+
+Edges never change, so they are stored once, bucketed by (src, salt), and only
+labels and messages are shuffled in a round. A vertex with more than
+``limit`` edges has several salts, which spread its edges over buckets; its
+label is sent once to each.
+"""
 
 from pyspark.sql import DataFrame, functions as F
 
 
-def start_labels(labels: DataFrame) -> DataFrame:
+def hot_senders(edge_list: DataFrame, limit: int) -> DataFrame:
+    """(sender, salts) of the vertices with more than ``limit`` edges."""
+    counted = edge_list.groupBy(F.col("src").alias("sender")).agg(F.count("*").alias("n"))
+    return counted.where(F.col("n") > limit).select(
+        "sender", F.ceil(F.col("n") / limit).cast("int").alias("salts")
+    )
+
+
+def salted_edges(edge_list: DataFrame, hot: DataFrame) -> DataFrame:
+    """(src, dst, salt). There are at most edges / limit hot senders, a bounded broadcast."""
+    salt = F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).cast("int")
+    found = edge_list.join(F.broadcast(hot), F.col("src") == F.col("sender"), "left")
+    return found.select("src", "dst", salt.alias("salt"))
+
+
+def start_labels(labels: DataFrame, hot: DataFrame) -> DataFrame:
     """Labels before the first round: every vertex counts as news."""
-    return labels.select("vertex", "component", F.lit(True).alias("changed"))
+    found = labels.join(F.broadcast(hot), F.col("vertex") == F.col("sender"), "left")
+    return found.select(
+        "vertex",
+        "component",
+        F.lit(True).alias("changed"),
+        F.coalesce("salts", F.lit(1)).alias("salts"),
+    )
 
 
 def propagate(edge_list: DataFrame, labels: DataFrame) -> DataFrame:
     """One round: each vertex takes the least label among its own and its neighbours'.
 
-    Reads only the labels of the round before. A vertex whose label did not
+    ``edge_list`` has salts. Reads only the labels of the round before. A vertex whose label did not
     change then has told its neighbours already, so only changed vertices send.
     The own label travels as ``before`` through the same aggregate, which shows
     what changed without joining new labels to old ones.
     """
-    senders = labels.where("changed").select(F.col("vertex").alias("sender"), "component")
-    told = edge_list.join(senders, edge_list.src == senders.sender).select(
-        F.col("dst").alias("vertex"), "component", F.lit(None).cast("bigint").alias("before")
+    senders = labels.where("changed").select(
+        F.col("vertex").alias("sender"),
+        "component",
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("copy"),
+    )
+    reached = (edge_list.src == senders.sender) & (edge_list.salt == senders["copy"])
+    told = edge_list.join(senders, reached).select(
+        F.col("dst").alias("vertex"),
+        "component",
+        F.lit(None).cast("bigint").alias("before"),
+        F.lit(None).cast("int").alias("salts"),
     )
-    own = labels.select("vertex", "component", F.col("component").alias("before"))
+    own = labels.select("vertex", "component", F.col("component").alias("before"), "salts")
     return (
         told.unionByName(own)
         .groupBy("vertex")
-        .agg(F.min("component").alias("component"), F.max("before").alias("before"))
-        .select("vertex", "component", (F.col("component") != F.col("before")).alias("changed"))
+        .agg(
+            F.min("component").alias("component"),
+            F.max("before").alias("before"),
+            F.max("salts").alias("salts"),
+        )
+        .select(
+            "vertex", "component", (F.col("component") != F.col("before")).alias("changed"), "salts"
+        )
     )
 
 

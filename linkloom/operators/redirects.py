@@ -53,21 +53,23 @@ def resolve_targets(page: DataFrame, redirect: DataFrame, linktarget: DataFrame)
     pages take part in the redirect join, because the others keep their own
     title whatever the redirect table says, and all joins are inner, so rows
     with a NULL title drop out before any shuffle.
+
+    Targets of unflagged pages lead to their own title, by which they are shuffled already:
+    only redirected targets are shuffled again for the title that they lead to.
     """
     pages = main_pages(page)
-    plain = pages.where(~F.col("page_is_redirect")).select(
-        "page_title", F.col("page_title").alias("leads_to")
-    )
+    plain = pages.where(~F.col("page_is_redirect")).select("page_title")
     flagged = pages.where(F.col("page_is_redirect") | F.col("page_is_redirect").isNull())
     redirecting = flagged.join(redirect, flagged.page_id == redirect.rd_from).select(
         "page_title", F.col("rd_title").alias("leads_to")
     )
-    main_targets = linktarget.where(F.col("lt_namespace") == MAIN_NAMESPACE)
+    targets = linktarget.where(F.col("lt_namespace") == MAIN_NAMESPACE).select("lt_id", "lt_title")
     by_title = pages.select("page_id", F.col("page_title").alias("found_title"))
-    return (
-        main_targets.join(
-            plain.unionByName(redirecting), F.col("lt_title") == F.col("page_title")
-        )
-        .join(by_title, F.col("leads_to") == F.col("found_title"))
-        .select("lt_id", "page_id")
+    own_title = F.col("lt_title") == F.col("page_title")
+    direct = targets.join(plain, own_title).join(
+        by_title, F.col("lt_title") == F.col("found_title")
+    )
+    redirected = targets.join(redirecting, own_title).join(
+        by_title, F.col("leads_to") == F.col("found_title")
     )
+    return direct.select("lt_id", "page_id").unionByName(redirected.select("lt_id", "page_id"))

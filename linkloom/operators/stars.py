@@ -10,11 +10,14 @@ Vertices with many edges. The lookups below are joins on one end of an edge,
 and a single vertex may hold a large share of all rows there. Keys with more
 than ``hot_limit`` rows are looked up by broadcast and their rows are spread
 over the shuffle by the other end. There are at most rows / hot_limit such
-keys, which bounds the broadcast. With no more rows than that in all, no key
-can be hot, and shorter plans do.
+keys, which bounds the broadcast. Graphs of any size take the same plan; without
+such keys the broadcast is empty.
+
+Both steps say of every row whether it moved. A round in which none did has
+left stars only.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000_000
@@ -47,52 +50,50 @@ def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int
     return (
         rows.join(F.broadcast(hot), F.col(key) == F.col("hot_vertex"), "left")
         .join(rest, (spread_key == F.col("vertex")) & ~is_hot, "left")
-        .select("hi", "lo", F.coalesce("hot_least", "least").alias("least"))
+        .select(*rows.columns, F.coalesce("hot_least", "least").alias("least"))
     )
 
 
-def large_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
+def large_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Re-attach the larger end of every edge to the least neighbour of its smaller end.
 
-    Rows may repeat in the result. ``limit`` is the hot-key limit; None says
-    that there are no more rows than that, so no key can be hot.
+    Rows (hi, lo, moved); they may repeat. ``limit`` is the hot-key limit.
     """
+    edge_rows = edge_rows.select("hi", "lo")
     least = edge_rows.groupBy(F.col("hi").alias("vertex")).agg(F.min("lo").alias("least"))
-    if limit is None:
-        found = edge_rows.join(least, F.col("lo") == F.col("vertex"), "left")
-    else:
-        load = edge_rows.groupBy(F.col("lo").alias("vertex")).agg(F.count("*").alias("load"))
-        table = load.join(least, "vertex", "left").withColumn(
-            "useful", F.col("least").isNotNull()
-        )
-        found = _look_up(edge_rows, "lo", "hi", table, limit)
-    return found.select("hi", F.coalesce("least", "lo").alias("lo"))
+    load = edge_rows.groupBy(F.col("lo").alias("vertex")).agg(F.count("*").alias("load"))
+    table = load.join(least, "vertex", "left").withColumn("useful", F.col("least").isNotNull())
+    found = _look_up(edge_rows, "lo", "hi", table, limit)
+    return found.select(
+        "hi", F.coalesce("least", "lo").alias("lo"), F.col("least").isNotNull().alias("moved")
+    )
 
 
-def small_star(edge_rows: DataFrame, limit: int | None = None) -> DataFrame:
+def small_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Attach every vertex, and its smaller neighbours, to the least of these.
 
     The row that holds a vertex's least neighbour stays, every other row moves
-    down to join that neighbour and the one it held. The result has no repeated
-    rows. With a ``limit``, ``edge_rows`` is read twice: keep it. Without one,
-    the rows of a vertex are few enough for a window, which reads it once.
+    down to join that neighbour and the one it held. Rows (hi, lo, moved) without
+    repeats; ``moved`` includes the moves that ``edge_rows`` tell of. They are read
+    twice: store them.
     """
-    if limit is None:
-        least = F.min("lo").over(Window.partitionBy("hi"))
-        found = edge_rows.select("hi", "lo", least.alias("least"))
-    else:
-        # A vertex with one row has no second neighbour to move.
-        table = (
-            edge_rows.groupBy(F.col("hi").alias("vertex"))
-            .agg(F.min("lo").alias("least"), F.count("*").alias("load"))
-            .withColumn("useful", F.col("load") > 1)
+    # A vertex with one row has no second neighbour to move.
+    table = (
+        edge_rows.groupBy(F.col("hi").alias("vertex"))
+        .agg(F.min("lo").alias("least"), F.count("*").alias("load"))
+        .withColumn("useful", F.col("load") > 1)
+    )
+    found = _look_up(edge_rows, "hi", "lo", table, limit)
+    moves = F.coalesce(F.col("lo") > F.col("least"), F.lit(False))
+    return (
+        found.select(
+            F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
+            F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
+            (F.col("moved") | moves).alias("moved"),
         )
-        found = _look_up(edge_rows, "hi", "lo", table, limit)
-    moves = F.col("lo") > F.col("least")
-    return found.select(
-        F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
-        F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
-    ).distinct()
+        .groupBy("hi", "lo")
+        .agg(F.max("moved").alias("moved"))
+    )
 
 
 def star_labels(edge_rows: DataFrame, self_pairs: DataFrame | None = None) -> DataFrame:
@@ -103,7 +104,9 @@ def star_labels(edge_rows: DataFrame, self_pairs: DataFrame | None = None) -> Da
     """
     leaf = F.struct(F.col("hi").alias("vertex"), F.col("lo").alias("component"))
     centre = F.struct(F.col("lo").alias("vertex"), F.col("lo").alias("component"))
-    rows = edge_rows if self_pairs is None else edge_rows.unionByName(self_pairs)
+    rows = edge_rows.select("hi", "lo")
+    if self_pairs is not None:
+        rows = rows.unionByName(self_pairs.select("hi", "lo"))
     return (
         rows.select(F.inline(F.array(leaf, centre)))
         .groupBy("vertex")

@@ -33,6 +33,11 @@ def first_members(members: DataFrame, k: int = 20) -> DataFrame:
     return members.orderBy("vertex").limit(k)
 
 
+def _block_number(block: int):
+    """Number of the id block of a vertex; rounds down, for negative ids too."""
+    return F.expr(f"(vertex - pmod(vertex, {int(block)})) div {int(block)}")
+
+
 def component_members(labels: DataFrame, block: int = MEMBER_BLOCK) -> DataFrame:
     """Sorted members per component, in rows of bounded size.
 
@@ -42,7 +47,7 @@ def component_members(labels: DataFrame, block: int = MEMBER_BLOCK) -> DataFrame
     are its whole member set.
     """
     return (
-        labels.groupBy("component", F.expr(f"vertex div {int(block)}").alias("id_block"))
+        labels.groupBy("component", _block_number(block).alias("id_block"))
         .agg(F.array_sort(F.collect_list("vertex")).alias("members"))
         .select("component", "id_block", "members")
     )

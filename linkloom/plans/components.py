@@ -8,7 +8,6 @@ a lost executor never costs more than the round at work.
 import time
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from linkloom.operators import graph, propagation, stars, stats
@@ -16,13 +15,8 @@ from linkloom.sources.workspace import Workspace
 
 METHODS = ("star", "min_label")
 
-# Each round reads the labels before it twice, so the plan doubles with every
-# round since the last durable table.
-MAX_CHECKPOINT_EVERY = 5
-
-
 class Round(NamedTuple):
-    """What one round did. ``changed`` counts vertices (min_label) or is 0/1 (star)."""
+    """What one round did. ``changed`` counts vertices (min_label) or edges that moved (star)."""
 
     round: int
     changed: int
@@ -32,7 +26,7 @@ class Round(NamedTuple):
 class Components(NamedTuple):
     """Labels, statistics and the course of a run.
 
-    The frames are lazy over tables in ``workspace``; drop it when done.
+    The labels are a stored table in ``workspace``, its only one; drop it when done.
     """
 
     vertices: DataFrame
@@ -58,7 +52,6 @@ def connected_components(
     pairs: DataFrame,
     method: str = "star",
     checkpoint_dir: str | None = None,
-    checkpoint_every: int = 1,
     max_rounds: int | None = None,
     hot_rows: int = stars.HOT_ROWS,
 ) -> Components:
@@ -69,23 +62,16 @@ def connected_components(
     the same. Pairs may repeat, run either way or join a page to itself; a pair
     with an unknown end is no edge.
 
-    ``checkpoint_every`` is for ``min_label``: labels between two durable tables
-    are kept in executor memory and disk, which saves files but may cost a
-    recomputation. ``max_rounds`` fails the run when passed, as labels would be
-    wrong then. ``hot_rows`` is the number of edges
-    from which a vertex is treated apart in ``star``: what one task takes with ease.
+    ``max_rounds`` fails the run when passed, as labels would be wrong then.
+    ``hot_rows`` is the number of edges from which a vertex is treated apart: what one task
+    takes with ease. Each round is written as a table.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
-    if method == "star" and checkpoint_every != 1:
-        raise ValueError("star writes a table in every round; checkpoint_every must be 1")
-    if not 1 <= checkpoint_every <= MAX_CHECKPOINT_EVERY:
-        raise ValueError(f"checkpoint_every must be 1 to {MAX_CHECKPOINT_EVERY}")
     work = Workspace(pairs.sparkSession, checkpoint_dir)
+    run = _by_stars if method == "star" else _by_propagation
     try:
-        if method == "star":
-            return _by_stars(pairs, work, max_rounds, hot_rows)
-        return _by_propagation(pairs, work, max_rounds, checkpoint_every)
+        return run(pairs, work, max_rounds, hot_rows)
     except BaseException:
         work.drop()
         raise
@@ -107,64 +93,55 @@ def _by_stars(
         loops=F.count_if(hi == lo),
     )
     self_pairs = stored.where(hi == lo) if first["loops"] else None
-    rows = stored.where(hi != lo) if first["loops"] else stored
-    n, weight = first["edges"], None
+    rows, n = stored.where(hi != lo), first["edges"]
     rounds: list[Round] = []
-    while n:
+    moved = n
+    while moved:
         _check_rounds(len(rounds), max_rounds)
         started = time.monotonic()
+        number = len(rounds)
         limit = stars.hot_limit(n, hot_rows)
-        limit = limit if n > limit else None
-        spread = stars.large_star(rows, limit)
-        if limit is not None:
-            spread.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows, after = work.store(
-                stars.small_star(spread, limit),
-                f"edges-{len(rounds) + 1}",
-                edges=F.count("*"),
-                # Any change to the edge set lowers this sum or the number of rows.
-                weight=F.sum((hi.cast("decimal(20,0)") + lo).cast("decimal(38,0)")),
-            )
-        finally:
-            spread.unpersist()
-        changed = (n, weight) != (after["edges"], after["weight"])
-        n, weight = after["edges"], after["weight"]
-        if rounds or self_pairs is None:
-            work.drop(f"edges-{len(rounds)}")
-        rounds.append(Round(len(rounds), int(changed), time.monotonic() - started))
-        if not changed:
-            break
-    return Components(stars.star_labels(rows, self_pairs), rounds, work)
+        spread, _ = work.store(stars.large_star(rows, limit), f"spread-{number}")
+        rows, after = work.store(
+            stars.small_star(spread, limit),
+            f"edges-{number + 1}",
+            edges=F.count("*"),
+            moved=F.count_if("moved"),
+        )
+        n, moved = after["edges"], after["moved"]
+        used = [f"spread-{number}"] + [f"edges-{number}"] * (number > 0 or self_pairs is None)
+        work.drop(*used)
+        rounds.append(Round(number, moved, time.monotonic() - started))
+    labels, _ = work.store(stars.star_labels(rows, self_pairs), "labels")
+    work.drop("edges-0", f"edges-{len(rounds)}")
+    return Components(labels, rounds, work)
 
 
 def _by_propagation(
-    pairs: DataFrame, work: Workspace, max_rounds: int | None, every: int
+    pairs: DataFrame, work: Workspace, max_rounds: int | None, hot_rows: int
 ) -> Components:
     known = pairs.where(F.col("page_a").isNotNull() & F.col("page_b").isNotNull())
-    edge_list, _ = work.store(graph.edges(known), "edges")
+    edge_list, first = work.store(graph.edges(known), "edges", n=F.count("*"))
+    limit = stars.hot_limit(first["n"], hot_rows)
+    hot, _ = work.store(propagation.hot_senders(edge_list, max(1, limit)), "hot")
+    salted = work.store_bucketed(propagation.salted_edges(edge_list, hot), "salted", "src", "salt")
     labels, start = work.store(
-        propagation.start_labels(graph.vertices(edge_list)), "labels-0", n=F.count("*")
+        propagation.start_labels(graph.vertices(edge_list), hot), "labels-0", n=F.count("*")
     )
-    changed, durable, kept = start["n"], 0, []
+    work.drop("edges", "hot")
+    changed = start["n"]
     rounds: list[Round] = []
     while changed:
         _check_rounds(len(rounds), max_rounds)
         started = time.monotonic()
-        number = len(rounds) + 1
-        labels = propagation.propagate(edge_list, labels)
-        if number % every == 0:
-            labels, seen = work.store(
-                labels, f"labels-{number}", changed=F.count_if("changed")
-            )
-            changed = seen["changed"]
-            for frame in kept:
-                frame.unpersist()
-            work.drop(f"labels-{durable}")
-            durable, kept = number, []
-        else:
-            labels = labels.persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(labels)
-            changed = propagation.changed_count(labels).first()["changed"]
-        rounds.append(Round(number - 1, changed, time.monotonic() - started))
+        number = len(rounds)
+        labels, seen = work.store(
+            propagation.propagate(salted, labels),
+            f"labels-{number + 1}",
+            changed=F.count_if("changed"),
+        )
+        changed = seen["changed"]
+        work.drop(f"labels-{number}")
+        rounds.append(Round(number, changed, time.monotonic() - started))
+    work.drop("salted")
     return Components(labels.select("vertex", "component"), rounds, work)

@@ -4,23 +4,43 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from linkloom.operators import stats
-from linkloom.plans.components import Round, connected_components
+from linkloom.operators import links, stats
+from linkloom.plans.components import METHODS, Round, connected_components
 from linkloom.plans.mutual import mutual_links
 from linkloom.sources.sinks import write_result
 from linkloom.sources.tables import LinkTables
+from linkloom.sources.workspace import checkpoint_root, exists
+
+RESULTS = (
+    "mutual_links",
+    "mutual_link_count",
+    "vertices",
+    "component_stats",
+    "largest_component_vertices",
+)
 
 
 class JobResult(NamedTuple):
     """Frames over the written results, and the rounds the components took."""
 
     mutual_links: DataFrame
+    mutual_link_count: DataFrame
     vertices: DataFrame
     component_stats: DataFrame
     largest_component_vertices: DataFrame
     rounds: list[Round]
 
 
+def _check(spark, output: str, checkpoint_dir: str | None, method: str, mode: str) -> str:
+    """Fail on whatever would stop the job later; gives the checkpoint folder."""
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
+    taken = [n for n in RESULTS if exists(spark, f"{output}/{n}")]
+    if taken and mode == "errorifexists":
+        raise FileExistsError(f"{', '.join(taken)} below {output}: choose another output or overwrite")
+    return checkpoint_dir or checkpoint_root(spark)
+
+
 def run_job(
     tables: LinkTables,
     output: str,
@@ -28,21 +48,31 @@ def run_job(
     method: str = "star",
     mode: str = "errorifexists",
 ) -> JobResult:
-    """Write mutual_links, vertices and component_stats below ``output``.
+    """Write the results named in ``RESULTS`` below ``output``.
 
     Each result is computed once: what builds on it reads the written table.
+    Settings and output paths are checked before the first write.
     """
     output = output.rstrip("/")
-    pairs = write_result(mutual_links(tables), f"{output}/mutual_links", mode)
+    checkpoint_dir = _check(tables.page.sparkSession, output, checkpoint_dir, method, mode)
+
+    def write(frame, name):
+        return write_result(frame, f"{output}/{name}", mode)
+
+    pairs = write(mutual_links(tables), "mutual_links")
+    count = write(links.pair_count(pairs), "mutual_link_count")
     run = connected_components(pairs, method=method, checkpoint_dir=checkpoint_dir)
-    vertices = write_result(run.vertices, f"{output}/vertices", mode)
-    run.workspace.drop()
-    sizes = write_result(stats.component_stats(vertices), f"{output}/component_stats", mode)
+    try:
+        vertices = write(run.vertices, "vertices")
+    finally:
+        run.workspace.drop()
+    sizes = write(stats.component_stats(vertices), "component_stats")
+    members = stats.largest_component_members(vertices, sizes)
     return JobResult(
         mutual_links=pairs,
+        mutual_link_count=count,
         vertices=vertices,
         component_stats=sizes,
-        largest_component_vertices=stats.largest_component_members(vertices, sizes),
+        largest_component_vertices=write(members, "largest_component_vertices"),
         rounds=run.rounds,
     )
-

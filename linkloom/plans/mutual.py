@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from linkloom.operators import links, redirects, selflinks
+from linkloom.operators import graph, links, redirects, selflinks
 from linkloom.sources.tables import LinkTables
 
 
@@ -47,6 +47,12 @@ def mutual_link_steps(tables: LinkTables, register: bool = False) -> dict[str, D
     )
 
 
+def register_graph_views(pairs: DataFrame, labels: DataFrame) -> None:
+    """Views ``edges`` (src, dst; both directions) and ``connected_components`` (vertex, component)."""
+    graph.edges(pairs).createOrReplaceTempView("edges")
+    labels.select("vertex", "component").createOrReplaceTempView("connected_components")
+
+
 def self_link_steps(tables: LinkTables, register: bool = False) -> dict[str, DataFrame]:
     """Every relation of the first-generation rules, by name; the last is the result."""
     targets = selflinks.target_pages(tables.linktarget, tables.page)

@@ -1,5 +1,6 @@
 """Run folders for tables that cut lineage, below the shared checkpoint folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     from_context = spark.sparkContext.getCheckpointDir()
     if from_context:
         return from_context
-    if spark.sparkContext.master.startswith("local"):
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
         return tempfile.mkdtemp(prefix="linkloom-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
 
@@ -29,7 +30,9 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.folder = f"{(root or checkpoint_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
+        self.run = f"run-{uuid.uuid4().hex}"
+        self.folder = f"{(root or checkpoint_root(spark)).rstrip('/')}/{self.run}"
+        self._bucketed: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -49,9 +52,41 @@ class Workspace:
         stored = self.spark.read.schema(schema).parquet(self.path(name))
         return stored, dict(observed.get) if observed else {}
 
-    def drop(self, name: str | None = None) -> None:
-        """Delete one table of this run, or the whole run folder."""
-        target = self.path(name) if name else self.folder
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(target)
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+    def store_bucketed(self, frame: DataFrame, name: str, *keys: str) -> DataFrame:
+        """Write ``frame`` hashed into buckets by ``keys`` and return it as a table.
+
+        Joins on the keys take the buckets as they are. The catalog entry, unlike the
+        files of ``store``, must stay until the last read; ``drop`` removes both.
+        """
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{self.run}_{name}".replace("-", "_")
+        (
+            frame.repartition(buckets, *keys)
+            .write.format("parquet")
+            .bucketBy(buckets, *keys)
+            .option("path", self.path(name))
+            .saveAsTable(table)
+        )
+        self._bucketed[name] = table
+        return self.spark.table(table)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables of this run, or without names the whole run folder."""
+        for name in names or tuple(self._bucketed):
+            if name in self._bucketed:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed.pop(name)}")
+        for target in map(self.path, names) if names else [self.folder]:
+            path, files = _path(self.spark, target)
+            files.delete(path, True)
+
+
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether there is a file or folder of this name."""
+    path, files = _path(spark, target)
+    return files.exists(path)
+
+
+def _path(spark: SparkSession, target: str):
+    """A path and its file system. Spark has no public call for either."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -131,6 +131,7 @@ one_round AS (
             f"{after_mutual}\nSELECT count(*) AS changed FROM one_round WHERE component <> vertex"
         ),
         "q15_components": labels,
+        "q15_components_hot": labels,
         "q15_components_min_label": labels,
         "q16_component_stats": _on_components("SELECT component, size FROM sizes"),
         "q17_top_components": _on_components(
@@ -144,12 +145,16 @@ one_round AS (
             "WHERE component = (SELECT component FROM largest) ORDER BY vertex LIMIT 20"
         ),
         "q19_component_members": _on_components(
-            "SELECT component, vertex // 1000 AS id_block, "
+            "SELECT component, CAST(floor(vertex / 1000.0) AS BIGINT) AS id_block, "
             "string_agg(CAST(vertex AS VARCHAR), ',' ORDER BY vertex) AS members "
-            "FROM labels GROUP BY component, vertex // 1000"
+            "FROM labels GROUP BY 1, 2"
         ),
         "q20_pairs_sink": _with("SELECT * FROM mutual", "mutual"),
         "q20_components_sink": labels,
+        "q20_largest_sink": _on_components(
+            "SELECT vertex, component FROM labels WHERE component = (SELECT component FROM largest)"
+        ),
+        "q20_count_sink": _with("SELECT count(*) AS n FROM mutual", "mutual"),
         "q21_ascending_links": _with("SELECT * FROM ascending", "ascending"),
         "q21_ascending_components": _on_components(
             "SELECT vertex, component FROM labels", "ascending"
@@ -159,8 +164,18 @@ one_round AS (
             "WHERE round >= 0 GROUP BY round"
         ),
         "q23_jsonl_load": _with(f"{pages} page", "page"),
+        "q23_jsonl_mutual_links": _with("SELECT * FROM mutual", "mutual"),
+        "q23_graph_views": _on_components(
+            "SELECT src, dst, component FROM edges JOIN labels ON src = vertex"
+        ),
         "q23_step_views": _with("SELECT * FROM mutual", "mutual"),
         "q23_views_by_name": _with("SELECT * FROM mutual", "mutual"),
+        "v1_step_views": _with(
+            "SELECT p.lt_id, p.lt_page_id, r.rd_title FROM v1_page p "
+            "JOIN v1_redirect r ON p.lt_id = r.lt_id AND p.lt_page_id = r.lt_page_id "
+            "WHERE EXISTS (SELECT 1 FROM v1_resolved s WHERE s.lt_id = p.lt_id)",
+            "v1_resolved",
+        ),
         "v1_lt_page": _with("SELECT * FROM v1_page", "v1_page"),
         "v1_lt_redirect": _with("SELECT * FROM v1_redirect", "v1_redirect"),
         "v1_lt_resolved": _with("SELECT * FROM v1_resolved", "v1_resolved"),

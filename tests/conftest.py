@@ -62,27 +62,57 @@ def link_tables(spark):
     return build
 
 
-WORDS = "one two three four five six seven eight nine ten".split()
-
-
-def ten_rows():
-    """Ten pages, ten redirect rows (seven of them on unflagged pages), ten links."""
-    name = {i + 1: f"page_{word}" for i, word in enumerate(WORDS)}
-    flagged = {2, 5, 9}
-    goes_to = dict(zip(range(1, 11), [9, 1, 4, 5, 3, 8, 2, 7, 10, 6]))
-    target = dict(zip(range(1, 11), [2, 3, 4, 1, 6, 7, 8, 9, 10, 5]))
-    link = dict(zip(range(1, 11), [2, 7, 4, 8, 6, 9, 10, 1, 3, 5]))
+def harbour_rows():
+    """A small wiki: flagged pages, a chain of redirects, an unflagged page with a redirect
+    row, redirects to nowhere, a link target without a page, and a link to oneself.
+    """
     return {
-        "page": [(i, name[i], 0, i in flagged) for i in name],
-        "redirect": [(i, 0, name[goes_to[i]]) for i in name],
-        "linktarget": [(i, name[target[i]], 0) for i in name],
-        "pagelinks": [(i, 0, link[i]) for i in name],
+        "page": [
+            (11, "Harbour", 0, False),
+            (12, "Port", 0, True),
+            (13, "Lighthouse", 0, False),
+            (14, "Pharos", 0, True),
+            (15, "Beacon", 0, True),
+            (16, "Ferry", 0, False),
+            (17, "Quay", 0, False),
+            (18, "Ghost", 0, True),
+        ],
+        "redirect": [
+            (12, 0, "Harbour"),
+            (14, 0, "Beacon"),
+            (15, 0, "Lighthouse"),
+            (17, 0, "Ferry"),
+            (18, 0, "Nowhere"),
+        ],
+        "linktarget": [
+            (101, "Harbour", 0),
+            (102, "Port", 0),
+            (103, "Lighthouse", 0),
+            (104, "Pharos", 0),
+            (105, "Beacon", 0),
+            (106, "Ferry", 0),
+            (107, "Quay", 0),
+            (108, "Ghost", 0),
+            (109, "Missing", 0),
+        ],
+        "pagelinks": [
+            (11, 0, 103),
+            (13, 0, 102),
+            (16, 0, 107),
+            (17, 0, 106),
+            (16, 0, 105),
+            (15, 0, 104),
+            (14, 0, 104),
+            (11, 0, 108),
+            (11, 0, 109),
+            (16, 0, 101),
+        ],
     }
 
 
 @pytest.fixture
-def ten(link_tables):
-    return link_tables(**ten_rows())
+def harbour(link_tables):
+    return link_tables(**harbour_rows())
 
 
 def rows(frame, *columns):

@@ -16,27 +16,27 @@ from linkloom.operators.links import (
 )
 
 
-def test_ten_rows_resolve_and_pair(ten):
-    steps = mutual_link_steps(ten)
+def test_harbour_resolve_and_pair(harbour):
+    steps = mutual_link_steps(harbour)
     assert rows(steps["resolved_links"], "lt_id", "page_id") == [
-        (1, 1), (2, 3), (3, 4), (4, 1), (5, 6), (6, 7), (7, 8), (8, 10), (9, 10), (10, 3),
+        (101, 11), (102, 11), (103, 13), (104, 15), (105, 13), (106, 16), (107, 17), (108, None),
     ]
     assert rows(steps["page_links"]) == [
-        (1, 3), (2, 8), (3, 1), (4, 10), (5, 7), (6, 10), (7, 3), (8, 1), (9, 4), (10, 6),
+        (11, 13), (11, None), (13, 11), (14, 15), (15, 15), (16, 11), (16, 13), (16, 17), (17, 16),
     ]
-    assert rows(steps["mutual_links"]) == [(1, 3), (6, 10)]
-    assert rows(mutual_links(ten)) == [(1, 3), (6, 10)]
-    assert rows(pair_count(mutual_links(ten))) == [(2,)]
+    assert rows(steps["mutual_links"]) == [(11, 13), (16, 17)]
+    assert rows(mutual_links(harbour)) == [(11, 13), (16, 17)]
+    assert rows(pair_count(mutual_links(harbour))) == [(2,)]
 
 
-def test_ten_rows_ascending(ten):
-    ascending = ascending_links(mutual_link_steps(ten)["page_links"])
-    assert rows(ascending) == [(1, 3), (2, 8), (4, 10), (5, 7), (6, 10)]
+def test_harbour_ascending(harbour):
+    ascending = ascending_links(mutual_link_steps(harbour)["page_links"])
+    assert rows(ascending) == [(11, 13), (14, 15), (16, 17)]
 
 
-def test_steps_become_views(spark, ten):
-    mutual_link_steps(ten, register=True)
-    assert rows(spark.table("mutual_links")) == [(1, 3), (6, 10)]
+def test_steps_become_views(spark, harbour):
+    mutual_link_steps(harbour, register=True)
+    assert rows(spark.table("mutual_links")) == [(11, 13), (16, 17)]
     assert spark.table("updated_link_targets").columns == ["lt_id", "lt_title_updated"]
 
 
@@ -200,7 +200,7 @@ def test_pair_forms_agree(spark):
     assert rows(mutual_from_links(frame)) == [(1, 2)]
 
 
-def test_short_resolution_equals_the_steps(ten):
-    steps = mutual_link_steps(ten)["resolved_links"].where("page_id is not null")
-    short = redirects.resolve_targets(ten.page, ten.redirect, ten.linktarget)
+def test_short_resolution_equals_the_steps(harbour):
+    steps = mutual_link_steps(harbour)["resolved_links"].where("page_id is not null")
+    short = redirects.resolve_targets(harbour.page, harbour.redirect, harbour.linktarget)
     assert rows(short) == rows(steps, "lt_id", "page_id")

@@ -6,14 +6,14 @@ from linkloom import connected_components
 from linkloom.plans.mutual import self_link_steps
 
 
-def test_ten_rows(ten):
-    steps = self_link_steps(ten)
+def test_harbour(harbour):
+    steps = self_link_steps(harbour)
     assert rows(steps["lt_resolved"]) == [
-        (1, 1), (2, 4), (3, 5), (4, 9), (5, 8), (6, 2), (7, 7), (8, 10), (9, 6), (10, 3),
+        (101, 11), (102, 11), (103, 13), (104, 15), (105, 13), (106, 16), (107, 16), (108, 18),
     ]
-    assert rows(steps["reciprocal_links"]) == [(6, 9)]
+    assert rows(steps["reciprocal_links"]) == [(15, 104), (16, 107)]
     run = connected_components(steps["reciprocal_links"])
-    assert rows(run.vertices) == [(6, 6), (9, 6)]
+    assert rows(run.vertices) == [(15, 15), (16, 16), (104, 15), (107, 16)]
 
 
 def test_every_namespace_and_fallback(link_tables):

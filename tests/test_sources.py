@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import rows, ten_rows
+from conftest import rows, harbour_rows
 from pyspark.errors import AnalysisException
 
 from linkloom import load_tables, mutual_links, run_job, tables_from_catalog
@@ -11,13 +11,14 @@ from linkloom.__main__ import main
 from linkloom.schemas import SCHEMAS
 from linkloom.sources.sinks import write_result
 from linkloom.sources.tables import read_jsonl_table, read_parquet_table
+from linkloom.plans import job
 from linkloom.sources.workspace import Workspace, checkpoint_root
 
 
 @pytest.fixture
-def stored(ten, tmp_path):
+def stored(harbour, tmp_path):
     paths = {}
-    for name, frame in ten._asdict().items():
+    for name, frame in harbour._asdict().items():
         paths[name] = str(tmp_path / "in" / name)
         frame.write.parquet(paths[name])
     return paths
@@ -26,7 +27,7 @@ def stored(ten, tmp_path):
 def test_parquet_tables(spark, stored):
     tables = load_tables(spark, stored)
     assert [t.columns for t in tables] == [s.fieldNames() for s in SCHEMAS.values()]
-    assert rows(mutual_links(tables)) == [(1, 3), (6, 10)]
+    assert rows(mutual_links(tables)) == [(11, 13), (16, 17)]
 
 
 def test_parquet_of_other_types_and_order(spark, tmp_path):
@@ -69,12 +70,12 @@ def test_json_that_does_not_fit_fails(spark, tmp_path):
         read_jsonl_table(spark, "redirect", str(path)).collect()
 
 
-def test_json_tables_end_to_end(spark, ten, tmp_path):
+def test_json_tables_end_to_end(spark, harbour, tmp_path):
     paths = {}
-    for name, frame in ten._asdict().items():
+    for name, frame in harbour._asdict().items():
         paths[name] = str(tmp_path / name)
         frame.write.json(paths[name])
-    assert rows(mutual_links(load_tables(spark, paths, "json"))) == [(1, 3), (6, 10)]
+    assert rows(mutual_links(load_tables(spark, paths, "json"))) == [(11, 13), (16, 17)]
 
 
 def test_unknown_format(spark):
@@ -82,21 +83,21 @@ def test_unknown_format(spark):
         load_tables(spark, {}, "csv")
 
 
-def test_catalog(spark, ten):
-    ten.register()
-    assert rows(mutual_links(tables_from_catalog(spark))) == [(1, 3), (6, 10)]
-    ten.page.createOrReplaceTempView("other_page")
+def test_catalog(spark, harbour):
+    harbour.register()
+    assert rows(mutual_links(tables_from_catalog(spark))) == [(11, 13), (16, 17)]
+    harbour.page.createOrReplaceTempView("other_page")
     named = tables_from_catalog(spark, {"page": "other_page"})
-    assert rows(named.page) == sorted(ten_rows()["page"])
-    assert rows(spark.sql("SELECT page_id FROM page WHERE page_is_redirect")) == [(2,), (5,), (9,)]
+    assert rows(named.page) == sorted(harbour_rows()["page"])
+    assert rows(spark.sql("SELECT page_id FROM page WHERE page_is_redirect")) == [(12,), (14,), (15,), (18,)]
 
 
-def test_sink(spark, ten, tmp_path):
+def test_sink(spark, harbour, tmp_path):
     path = str(tmp_path / "pairs")
-    assert rows(write_result(mutual_links(ten), path)) == [(1, 3), (6, 10)]
+    assert rows(write_result(mutual_links(harbour), path)) == [(11, 13), (16, 17)]
     with pytest.raises(AnalysisException):
-        write_result(mutual_links(ten), path)
-    assert rows(write_result(mutual_links(ten), path, "overwrite")) == [(1, 3), (6, 10)]
+        write_result(mutual_links(harbour), path)
+    assert rows(write_result(mutual_links(harbour), path, "overwrite")) == [(11, 13), (16, 17)]
 
 
 def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
@@ -127,6 +128,8 @@ def test_no_local_folder_on_a_cluster():
         checkpoint_root(Unconfigured("yarn"))
     assert checkpoint_root(Unconfigured("yarn", "hdfs:///c")) == "hdfs:///c"
     assert os.path.isdir(checkpoint_root(Unconfigured("local[2]")))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Unconfigured("local-cluster[2,1,1024]"))
 
 
 def test_workspace_tables(spark, tmp_path):
@@ -146,16 +149,38 @@ def test_workspace_tables(spark, tmp_path):
 def test_job(spark, stored, tmp_path):
     out, scratch = str(tmp_path / "out"), tmp_path / "scratch"
     result = run_job(load_tables(spark, stored), out, checkpoint_dir=str(scratch))
-    assert rows(spark.read.parquet(f"{out}/mutual_links")) == [(1, 3), (6, 10)]
-    assert rows(spark.read.parquet(f"{out}/vertices")) == [(1, 1), (3, 1), (6, 6), (10, 6)]
-    assert rows(spark.read.parquet(f"{out}/component_stats")) == [(1, 2), (6, 2)]
-    assert rows(result.largest_component_vertices) == [(1, 1), (3, 1)]
+    assert rows(spark.read.parquet(f"{out}/mutual_links")) == [(11, 13), (16, 17)]
+    assert rows(spark.read.parquet(f"{out}/vertices")) == [(11, 11), (13, 11), (16, 16), (17, 16)]
+    assert rows(spark.read.parquet(f"{out}/component_stats")) == [(11, 2), (16, 2)]
+    assert rows(spark.read.parquet(f"{out}/mutual_link_count")) == [(2,)]
+    assert rows(result.largest_component_vertices) == [(11, 11), (13, 11)]
+    assert rows(spark.read.parquet(f"{out}/largest_component_vertices")) == [(11, 11), (13, 11)]
     assert os.listdir(scratch) == []
 
 
+def test_job_that_cannot_end_writes_nothing(spark, stored, tmp_path, monkeypatch):
+    tables, out = load_tables(spark, stored), tmp_path / "out"
+
+    def unset(session):
+        raise ValueError("set spark.checkpoint.dir")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "checkpoint_root", unset)
+        with pytest.raises(ValueError, match="checkpoint"):
+            run_job(tables, str(out))
+    with pytest.raises(ValueError, match="magic"):
+        run_job(tables, str(out), method="magic")
+    assert not out.exists()
+    (out / "component_stats").mkdir(parents=True)
+    with pytest.raises(FileExistsError, match="component_stats"):
+        run_job(tables, str(out))
+    assert os.listdir(out) == ["component_stats"]
+    assert rows(run_job(tables, str(out), mode="overwrite").mutual_links) == [(11, 13), (16, 17)]
+
+
 def test_command_line(spark, stored, tmp_path, capsys):
     out = str(tmp_path / "out")
     args = [f"--{name}={path}" for name, path in stored.items()]
     main([*args, f"--output={out}", "--method=min_label"])
-    assert rows(spark.read.parquet(f"{out}/vertices")) == [(1, 1), (3, 1), (6, 6), (10, 6)]
+    assert rows(spark.read.parquet(f"{out}/vertices")) == [(11, 11), (13, 11), (16, 16), (17, 16)]
     assert "round 0: changed 2" in capsys.readouterr().out
