@@ -338,7 +338,8 @@ def score_texts(
         _word_counts(own.where("learn")), "words", tokens=F.coalesce(F.sum("n"), F.lit(0)), kinds=F.count("*")
     )
     n_all, n_kinds = seen["tokens"], seen["kinds"]
-    top = counts.where(F.col("n") >= _frequent_from(counts, frequent)).toArrow()
+    is_end = F.col("word") == int(END)
+    top = counts.where(is_end | (F.col("n") >= _frequent_from(counts, frequent))).toArrow()
     words = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
     context = spark.sparkContext
