@@ -137,6 +137,7 @@ def find_windows(
     seeds, sown = work.store(_seeds(passages, counts, window, rarest), "seeds", n=F.count("*"))
     wanted, n = work.store(seeds.select("term").distinct(), "wanted", n=F.count("*"))
     index = build_index(docs, work, wanted, n["n"])
+    work.drop("vocabulary", "counts", "wanted")
     places = (
         index.join(small_or_shuffled(seeds, sown["n"]), "term")
         .select("doc_id", "passage", "start", "lists", "rank", (F.col("pos") - F.col("offset")).alias("at"))

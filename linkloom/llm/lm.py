@@ -395,6 +395,7 @@ def score_texts(
     scored, _ = work.store(
         subwords.mapInArrow(by_model, f"doc_id {id_type}, tag int, score double"), "scored"
     )
+    work.drop("subwords")
     parts = own.mapInArrow(
         by_words,
         f"doc_id {id_type}, tag int, word bigint, n_tokens bigint, n_known bigint, base double",

@@ -219,12 +219,15 @@ def near_duplicates(
         "fp", "least_id", F.coalesce("component", "fp").alias("component")
     )
     linked, _ = work.store(linked, "linked")
+    run.workspace.drop()
+    work.drop("keyed", "sizes", "shared", "dense", "prints")
     least, _ = work.store(
         linked.groupBy("component").agg(F.min("least_id").alias("component_id")), "least"
     )
     groups, _ = work.store(
         linked.join(least, "component").select(F.col("fp").alias("__fp"), "component_id"), "groups"
     )
+    work.drop("linked", "least")
     return marked.join(groups, F.col("fp") == F.col("__fp")).select(
         F.col("doc_id").alias(id_col), "fp", "component_id"
     )

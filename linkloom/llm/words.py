@@ -5,7 +5,7 @@ import pandas as pd
 import pyarrow.compute as pc
 
 # Bytes of text that a task holds as Python words at a time; longer texts come alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batches, column="text", limit=SLICE_BYTES):
