@@ -41,11 +41,10 @@ def lower(text):
     return (text or "").encode().lower().decode()
 
 
-def subword_ids(texts, model):
-    """Ids of each text, lowered, with begin and end ids."""
-    table = ChunkTable(model)
+def subword_ids(texts, table):
+    """Ids of each text, lowered, with begin and end ids, through a table of distinct chunks."""
     placed = [table.places(lower(t)) for t in texts]
-    table.segment(decode=False)
+    table.segment()
     return [table.lay_out(np.array(p, np.int64)).astype(np.int64) for p in placed]
 
 
@@ -263,9 +262,10 @@ def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
     """(doc_id, tag, learn, ids) of every text; ids are packed."""
 
     def run(batches):
-        model = load(model_file)
+        table = ChunkTable(load(model_file), decode=False)
         for part in slices(batches, limit=BLOCK_BYTES):
-            packed = [pack_ids(ids) for ids in subword_ids(part.column("text").to_pylist(), model)]
+            table = table.renewed()
+            packed = [pack_ids(ids) for ids in subword_ids(part.column("text").to_pylist(), table)]
             columns = [part.column(c) for c in ("doc_id", "tag", "learn")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(packed, pa.binary())], ["doc_id", "tag", "learn", "ids"]
@@ -301,7 +301,8 @@ def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs
     kinds, shares = id_classes(counts, [model.id_to_piece(i) for i in range(len(counts))])
     texts = [r["text"] for r in sample_texts(own.where("learn"), train_docs, TRAIN_CHARS)]
     attention = Attention(len(counts))
-    attention.train(subword_ids(texts, model) if texts else [], kinds)
+    table = ChunkTable(model, decode=False)
+    attention.train(subword_ids(texts, table), kinds)
     return Scorer(attention, kinds, shares)
 
 

@@ -3,18 +3,18 @@
 With the models taken here white space becomes a marker that only opens a piece, so no
 piece spans the place before a marker, and none spans a line feed, which only bytes
 can spell. Texts are cut at these places. Each task takes its texts in
-blocks of bounded size and keeps one table per block: every distinct chunk with its
+blocks of bounded size and keeps a table of the distinct chunks it has met, each with its
 pieces and the text they decode to, segmented once. Ids and decoded text come back
 to the chunk's places by number.
 
-The table is a block's own, so nothing is shuffled, and a lost executor costs the
-blocks it had at work. One table for the whole corpus would have to bring every block's
+The table is a task's own and bounded, so nothing is shuffled, and a lost executor costs the
+tasks it had at work. One table for the whole corpus would have to bring every block's
 chunks, and the blocks themselves, together by key: more than twice the input.
 """
 
 import hashlib
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,10 @@ from linkloom.llm.words import slices
 
 MARK = "▁"
 LINE_FEED = "\n"
-# Bytes of text whose chunks share a table; a longer text has a table of its own.
+# Bytes of text that are cut at a time; a longer text comes alone.
 BLOCK_BYTES = 4 << 20
+# A task's table starts anew after the block with which it reaches this many chunks (about 80 MB).
+MOST_CHUNKS = 400_000
 
 CHUNK = re.compile(f"{MARK}*[^{MARK}{LINE_FEED}]+|{MARK}+|{LINE_FEED}+")
 
@@ -55,48 +57,66 @@ def chunks(text: str) -> list[str]:
     return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+class Numbers(dict):
+    """Numbers for new keys in the order in which they are asked for, from 2 on."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self) + 2
+        return number
+
+
 class ChunkTable:
-    """Distinct chunks of a block by number, with pieces and decoded text once segmented.
+    """Distinct chunks by number, with pieces and decoded text once segmented.
 
     Number 0 is the begin id and number 1 the end id; neither decodes to anything.
     """
 
-    def __init__(self, model):
+    def __init__(self, model, decode=True):
         self.model = model
-        self.numbers = {}
+        self.numbers = Numbers()
+        self.segmented = 0
+        self.ids = np.array([model.bos_id(), model.eos_id()], np.uint32)
+        self.size = np.array([1, 1], np.int64)
+        self.decoded = ["", ""] if decode else None
+        # A text of its own would open with a marker, so each chunk follows a line feed,
+        # which no piece joins to it, and the pieces before the chunk are cut off.
+        self.before = len(model.encode(LINE_FEED))
+        # Decoding drops a marker that opens the ids: a letter stands in front.
+        self.letter = model.piece_to_id("a")
 
     def places(self, text):
         """Numbers of a text's chunks, with begin and end."""
-        numbers = self.numbers
-        return [0, *[numbers.setdefault(c, len(numbers) + 2) for c in chunks(text)], 1]
-
-    def segment(self, decode=True):
-        """Fill ``ids`` (of all chunks in a row), ``first``, ``size`` and, if asked, ``decoded``."""
-        model = self.model
-        # A text of its own would open with a marker, so each chunk follows a line feed,
-        # which no piece joins to it, and the pieces before the chunk are cut off.
-        before = len(model.encode(LINE_FEED))
-        found = model.encode([LINE_FEED + c for c in self.numbers], num_threads=1)
-        found = [[model.bos_id()], [model.eos_id()], *(ids[before:] for ids in found)]
-        if decode:
-            # Decoding drops a marker that opens the ids: a letter stands in front.
-            letter = model.piece_to_id("a")
-            decoded = model.decode([[letter, *ids] for ids in found[2:]], num_threads=1)
-            self.decoded = ["", "", *(d[1:] for d in decoded)]
-        self.size = np.fromiter(map(len, found), np.int64, len(found))
+        return [0, *map(self.numbers.__getitem__, chunks(text)), 1]
+
+    def segment(self):
+        """Bring ``ids`` (of all chunks in a row), ``size``, ``first`` and ``decoded`` up to date."""
+        fresh = list(islice(self.numbers, self.segmented, None))
+        self.segmented = len(self.numbers)
+        found = self.model.encode([LINE_FEED + c for c in fresh], num_threads=1)
+        found = [ids[self.before :] for ids in found]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
+        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
         self.first = np.cumsum(self.size) - self.size
-        self.ids = np.fromiter(chain.from_iterable(found), np.uint32, int(self.size.sum()))
+        if self.decoded is not None:
+            texts = self.model.decode([[self.letter, *ids] for ids in found], num_threads=1)
+            self.decoded.extend(t[1:] for t in texts)
 
     def lay_out(self, places):
-        """Ids of a list of places, and how many ids each place has."""
+        """Ids of a list of places."""
         sizes = self.size[places]
         starts = np.cumsum(sizes) - sizes
         return self.ids[np.repeat(self.first[places] - starts, sizes) + np.arange(sizes.sum())]
 
+    def renewed(self):
+        """This table, or an empty one if this has grown to its bound."""
+        if len(self.numbers) < MOST_CHUNKS:
+            return self
+        return ChunkTable(self.model, self.decoded is not None)
+
 
-def encode_block(texts, model):
-    """(ids, decoded text) of each text, through one table of the texts' distinct chunks."""
-    table = ChunkTable(model)
+def encode_block(texts, table):
+    """(ids, decoded text) of each text, through a table of distinct chunks."""
     placed = [table.places(t) for t in texts]
     table.segment()
     decoded = table.decoded
@@ -132,10 +152,11 @@ def encode_and_decode(
     names = [f.strip().split(" ")[0] for f in fields.split(",")]
 
     def run(batches):
-        model = load(model_file)
+        table = ChunkTable(load(model_file))
         for part in slices(batches, limit=block_bytes):
+            table = table.renewed()
             counts, id_marks, text_marks, ids_kept, texts_kept = [], [], [], [], []
-            for ids, decoded in encode_block(part.column("text").to_pylist(), model):
+            for ids, decoded in encode_block(part.column("text").to_pylist(), table):
                 counts.append(len(ids))
                 id_marks.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 text_marks.append(hashlib.sha256(decoded.encode()).hexdigest())

@@ -178,6 +178,16 @@ def test_pieces_of_the_documents(spark, documents):
         assert got[doc]["n_tokens"] == len(ids)
 
 
+def test_table_that_starts_anew(documents, monkeypatch):
+    monkeypatch.setattr(pieces, "MOST_CHUNKS", 50)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    table = pieces.ChunkTable(pieces.load(MODEL))
+    for _, text in documents[:30]:
+        table = table.renewed()
+        ((ids, decoded),) = pieces.encode_block([text], table)
+        assert list(ids) == [1, *library.encode(text), 2] and decoded == library.decode(list(map(int, ids)))
+
+
 def test_chunks_cover_the_text():
     for text in (" ", "a  b", "\n\n x\n", "▁▁", "é \n"):
         assert "".join(pieces.chunks(text)) == "▁" + text.replace(" ", "▁")
@@ -257,7 +267,7 @@ def test_base_scores_of_odd_rows(edges, nothing):
 @pytest.fixture(scope="module")
 def model(documents):
     loaded = pieces.load(MODEL)
-    ids = lm.subword_ids([t for _, t in documents], loaded)
+    ids = lm.subword_ids([t for _, t in documents], pieces.ChunkTable(loaded, decode=False))
     train = [i for i, (d, _) in zip(ids, documents) if zlib.crc32(str(d).encode()) % 7 != 2]
     held = [i for i, (d, _) in zip(ids, documents) if zlib.crc32(str(d).encode()) % 7 == 2]
     counts = np.bincount(np.concatenate(train), minlength=loaded.get_piece_size()).astype(float)
