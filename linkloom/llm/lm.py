@@ -30,9 +30,9 @@ TRAIN_DOCS, TRAIN_CHARS = 400, 8_000
 TRAIN_ROUNDS, TRAIN_WINDOWS, RATE = 300, 128, 0.01
 # Words whose counts go to every task: 5 MB.
 FREQUENT = 300_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 NUMBERS_PER_PASS = 1 << 17
-ROWS_PER_PASS = 500
+ROWS_PER_PASS = 100
 END = np.uint64(0)
 
 

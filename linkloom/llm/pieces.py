@@ -26,9 +26,9 @@ from linkloom.llm.words import slices
 MARK = "▁"
 LINE_FEED = "\n"
 # Bytes of text that are cut at a time; a longer text comes alone.
-BLOCK_BYTES = 4 << 20
-# A task's table starts anew after the block with which it reaches this many chunks (about 80 MB).
-MOST_CHUNKS = 400_000
+BLOCK_BYTES = 2 << 20
+# A task's table starts anew after the block with which it reaches this many chunks (about 40 MB).
+MOST_CHUNKS = 200_000
 
 CHUNK = re.compile(f"{MARK}*[^{MARK}{LINE_FEED}]+|{MARK}+|{LINE_FEED}+")
 

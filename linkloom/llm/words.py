@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that a task holds as Python words at a time; longer texts come alone.
@@ -21,6 +22,8 @@ def slices(batches, column="text", limit=SLICE_BYTES):
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        # Workers live on between tasks: what a batch took goes back.
+        pa.default_memory_pool().release_unused()
 
 
 def words(text, lower=False):
