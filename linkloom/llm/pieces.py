@@ -29,8 +29,10 @@ LINE_FEED = "\n"
 BLOCK_BYTES = 2 << 20
 # A task's table starts anew after the block with which it reaches this many chunks (about 40 MB).
 MOST_CHUNKS = 200_000
+# Chunks that the library is given at a time, as lines of one text.
+LINES = 64
 
-CHUNK = re.compile(f"{MARK}*[^{MARK}{LINE_FEED}]+|{MARK}+|{LINE_FEED}+")
+CHUNK = re.compile(f" *[^ {LINE_FEED}]+| +|{LINE_FEED}+")
 
 
 def load(model_file: str) -> sentencepiece.SentencePieceProcessor:
@@ -45,6 +47,8 @@ def load(model_file: str) -> sentencepiece.SentencePieceProcessor:
         raise ValueError("texts are taken as they are: the model must not normalize them")
     if not (rules.escape_whitespaces and rules.add_dummy_prefix):
         raise ValueError("the model must mark white space and open texts with a marker")
+    if not model.trainer_spec.byte_fallback:
+        raise ValueError("the model must spell a line feed as a byte")
     # Normal and user-defined pieces; the others match no text.
     spelled = [p.piece for p in model.pieces if p.type in (1, 4)]
     if any(re.search(f"[^{MARK}]{MARK}|{LINE_FEED}", piece) for piece in spelled):
@@ -53,8 +57,11 @@ def load(model_file: str) -> sentencepiece.SentencePieceProcessor:
 
 
 def chunks(text: str) -> list[str]:
-    """Chunks of a text; joined they are the text behind its opening marker."""
-    return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+    """Chunks of a text; joined they are the text behind the space that its marker stands for.
+
+    A marker in the text is a space to the model, and is one here: most chunks are ASCII then.
+    """
+    return CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
 
 
 class Numbers(dict):
@@ -76,31 +83,37 @@ class ChunkTable:
         self.numbers = Numbers()
         self.segmented = 0
         self.ids = np.array([model.bos_id(), model.eos_id()], np.uint32)
-        self.size = np.array([1, 1], np.int64)
+        self.first, self.size = np.array([0, 1]), np.array([1, 1])
         self.decoded = ["", ""] if decode else None
         # A text of its own would open with a marker, so each chunk follows a line feed,
-        # which no piece joins to it, and the pieces before the chunk are cut off.
-        self.before = len(model.encode(LINE_FEED))
-        # Decoding drops a marker that opens the ids: a letter stands in front.
-        self.letter = model.piece_to_id("a")
+        # which no piece joins to it.
+        *self.opening, self.feed = model.encode(LINE_FEED)
 
     def places(self, text):
         """Numbers of a text's chunks, with begin and end."""
         return [0, *map(self.numbers.__getitem__, chunks(text)), 1]
 
     def segment(self):
-        """Bring ``ids`` (of all chunks in a row), ``size``, ``first`` and ``decoded`` up to date."""
+        """Bring ``ids``, ``first`` and ``size`` (where each chunk's pieces are) and ``decoded`` up to date."""
         fresh = list(islice(self.numbers, self.segmented, None))
         self.segmented = len(self.numbers)
-        found = self.model.encode([LINE_FEED + c for c in fresh], num_threads=1)
-        found = [ids[self.before :] for ids in found]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
-        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
-        self.first = np.cumsum(self.size) - self.size
+        feeds = np.fromiter((len(c) if c[0] == LINE_FEED else 0 for c in fresh), np.int64, len(fresh))
+        others = [c for c in fresh if c[0] != LINE_FEED]
+        lines = [others[i : i + LINES] for i in range(0, len(others), LINES)]
+        found = self.model.encode(["".join(LINE_FEED + c for c in line) for line in lines], num_threads=1)
+        flat = np.fromiter(chain.from_iterable(i[len(self.opening) :] for i in found), np.uint32)
+        before = np.flatnonzero(flat == self.feed)
+        first = np.full(len(fresh), len(self.ids) + len(flat))
+        first[feeds == 0] = len(self.ids) + before + 1
+        size = feeds.copy()
+        size[feeds == 0] = np.diff(before, append=len(flat)) - 1
+        run = np.full(feeds.max(initial=0), self.feed, np.uint32)
+        self.ids = np.concatenate([self.ids, flat, run])
+        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
         if self.decoded is not None:
-            texts = self.model.decode([[self.letter, *ids] for ids in found], num_threads=1)
-            self.decoded.extend(t[1:] for t in texts)
+            texts = self.model.decode(found, num_threads=1) if found else []
+            said = chain.from_iterable(t.split(LINE_FEED)[1:] for t in texts)
+            self.decoded.extend(c if c[0] == LINE_FEED else next(said) for c in fresh)
 
     def lay_out(self, places):
         """Ids of a list of places."""
