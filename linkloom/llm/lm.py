@@ -33,6 +33,8 @@ FREQUENT = 300_000
 BLOCK_BYTES = 1 << 20
 NUMBERS_PER_PASS = 1 << 17
 ROWS_PER_PASS = 100
+# Word hashes that a task gathers before it counts them: 16 MB.
+HELD_WORDS = 2_000_000
 END = np.uint64(0)
 
 
@@ -100,7 +102,9 @@ class Attention:
         projections, sums as products with ones, and only the targets' logits kept.
         """
         p, (count, n) = self.p, ids.shape
-        x = p["ids"][ids.ravel()] + np.tile(p["spots"][:n], (count, 1))
+        x = np.take(p["ids"], ids.ravel(), axis=0).reshape(count, n, WIDTH)
+        x += p["spots"][:n]
+        x = x.reshape(-1, WIDTH)
         kv = (x @ np.hstack([p["key"], p["value"]])).reshape(count, n, 2 * WIDTH)
         own = x.reshape(count, n, WIDTH)[:, first:].reshape(-1, WIDTH)
         q = (own @ (p["query"] * np.float32(WIDTH**-0.5))).reshape(count, n - first, WIDTH)
@@ -215,17 +219,20 @@ def _long(values):
 def _word_counts(train: DataFrame) -> DataFrame:
     """(word, n) over all training texts, ends included; words as hashes."""
 
+    def counted(held):
+        kinds, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([_long(kinds), pa.array(n.astype(np.int64))], ["word", "n"])
+
     def run(batches):
+        held = []
         for part in slices(batches, limit=BLOCK_BYTES):
             flat, counts = flat_words(part.column("text").to_pylist(), lower=True)
-            kinds, n = np.unique(hash_words(flat), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    _long(np.append(kinds, END)),
-                    pa.array(np.append(n, len(counts)).astype(np.int64)),
-                ],
-                ["word", "n"],
-            )
+            held += [hash_words(flat), np.full(len(counts), END)]
+            if sum(map(len, held)) >= HELD_WORDS:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
 
     return (
         train.select("text").mapInArrow(run, "word bigint, n bigint")
@@ -355,9 +362,10 @@ def score_texts(
         words, numbers = common.value
         if not len(words):
             return np.zeros(len(hashes)), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-        found = words[at] == hashes
-        return np.where(found, numbers[at], 0), found
+        kinds, places = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(words, kinds), len(words) - 1)
+        found = words[at] == kinds
+        return np.where(found, numbers[at], 0)[places], found[places]
 
     def by_model(batches):
         for batch in batches:
