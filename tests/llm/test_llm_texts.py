@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import math
 import zlib
 from collections import Counter
@@ -188,6 +189,25 @@ def test_table_that_starts_anew(documents, monkeypatch):
         assert list(ids) == [1, *library.encode(text), 2] and decoded == library.decode(list(map(int, ids)))
 
 
+# What a cut or a joined line could get wrong: markers, line feeds, spelled control pieces, rare letters.
+PARTS = (
+    " ", "  ", "\n", "\n\n", "▁", "▁▁", "a", "the", "hello world", "é", "\u0301", "€", "𝄞", "日本",
+    "\ufffd", "\t", "\r", "\x0b", "\x00", "\x85", "<0x0A>", "<s>", "</s>", "<unk>", "1", "'",
+)
+
+
+def test_blocks_of_random_texts(monkeypatch):
+    monkeypatch.setattr(pieces, "LINES", 3)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pick = random.Random(5)
+    table = pieces.ChunkTable(pieces.load(MODEL))
+    for _ in range(40):
+        texts = ["".join(pick.choices(PARTS, k=pick.randint(0, 40))) for _ in range(25)]
+        for text, (ids, decoded) in zip(texts, pieces.encode_block(texts, table)):
+            want = [1, *library.encode(text), 2]
+            assert ids.tolist() == want and decoded == library.decode(want)
+
+
 def test_chunks_cover_the_text():
     for text in (" ", "a  b", "\n\n x\n", "▁▁", "é \n"):
         assert "".join(pieces.chunks(text)) == " " + text.replace("▁", " ")
