@@ -16,7 +16,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each SimHash group."""
-    return simhash.one_of_each(docs.select(*COLUMNS))
+    return simhash.one_of_each(docs.select(*COLUMNS), unique_ids=False)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

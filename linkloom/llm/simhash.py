@@ -16,7 +16,7 @@ own one-bit neighbours, which two of them share exactly if they differ in at mos
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from linkloom.llm.words import slices, words
 from linkloom.plans.components import connected_components
@@ -70,17 +70,18 @@ def fingerprint(texts, shingle=SHINGLE):
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of ``docs`` (doc_id, text); ``fp`` holds the 64 bits as a signed number."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    """``docs`` (text and others) with ``fp`` in place of the text: 64 bits as a signed number."""
+    others = [c for c in docs.columns if c != "text"]
+    types = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in others)
 
     def run(batches):
         for part in slices(batches):
             marks = fingerprint(part.column("text").to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "fp"]
+                [*map(part.column, others), pa.array(marks.view(np.int64))], [*others, "fp"]
             )
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, fp bigint")
+    return docs.mapInArrow(run, f"{types}fp bigint")
 
 
 def syndromes(values):
@@ -208,8 +209,15 @@ def near_duplicates(
     """
     if max_bits != MAX_BITS:
         raise ValueError(f"keys and dense buckets are built for {MAX_BITS} bits")
-    work = Workspace(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    found = _grouped(own, Workspace(docs.sparkSession), shingle, bucket)
+    return found.select(F.col("doc_id").alias(id_col), "fp", "component_id")
+
+
+def _grouped(own: DataFrame, work: Workspace, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
+    """The rows of ``own`` (doc_id, text and others) with fp, component (its least fingerprint)
+    and component_id in place of the text.
+    """
     marked, _ = work.store(fingerprints(own, shingle), "marked")
     prints, _ = work.store(
         marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "prints"
@@ -225,29 +233,47 @@ def near_duplicates(
         linked.groupBy("component").agg(F.min("least_id").alias("component_id")), "least"
     )
     groups, _ = work.store(
-        linked.join(least, "component").select(F.col("fp").alias("__fp"), "component_id"), "groups"
+        linked.join(least, "component").select(F.col("fp").alias("__fp"), "component", "component_id"), "groups"
     )
     work.drop("linked", "least")
-    return marked.join(groups, F.col("fp") == F.col("__fp")).select(
-        F.col("doc_id").alias(id_col), "fp", "component_id"
-    )
+    return marked.join(groups, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, with all columns, that are the least of their group.
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    unique_ids: bool = True,
+    shingle: int = SHINGLE,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """One row of each group of ``docs``, with all columns.
 
-    Of repeated rows with the least id one stays; so does one of the rows without id, if
-    a group has no others.
+    It is the row with the least id, and of several texts under that id the one with the least hash. A
+    row without id stands for its group only if no row of the group has one. With ``unique_ids`` an
+    id that stands for several groups stays once, with its least text hash; without, each group keeps its row.
     """
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    least = (
-        groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_col).alias("__least"))
-        .distinct()
+    work = Workspace(docs.sparkSession)
+    own = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag")
+    )
+    rows = _grouped(own, work, shingle, bucket).groupBy("component", "doc_id", "tag")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag", "copies")
+    chosen = (
+        rows.agg(F.count("*").alias("copies")).groupBy("component").agg(F.min(order).alias("row")).select("row.*")
     )
-    kept = docs.join(least, F.col(id_col).eqNullSafe(F.col("__least")), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return kept.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+    if unique_ids:
+        apart = F.when(F.col("last"), F.col("tag")).alias("apart")
+        chosen = chosen.groupBy("doc_id", apart).agg(F.min(F.struct("tag", "copies")).alias("row")).select(
+            "doc_id", "row.*"
+        )
+    chosen = chosen.select(F.col("doc_id").alias("__least"), F.col("tag").alias("__tag"), "copies")
+    chosen, seen = work.store(chosen, "chosen", copies=F.coalesce(F.max("copies"), F.lit(0)))
+    tagged = docs.withColumn("__text_tag", F.xxhash64(text_col))
+    if seen["copies"] > 1:
+        tagged = tagged.dropDuplicates([id_col, "__text_tag"])
+    same = F.col(id_col).eqNullSafe(F.col("__least")) & (F.col("__text_tag") == F.col("__tag"))
+    return tagged.join(chosen.drop("copies"), same, "left_semi").drop("__text_tag")
 
 
 def fingerprint_hex(fp):

@@ -94,6 +94,29 @@ def test_simhash_on_odd_rows(edges):
     assert len(ids) == len(set(ids)) and set(ids) >= {1, 4, 9, 10, 12} and not {2, 3, 13} & set(ids)
 
 
+def test_one_row_of_every_group(spark, edges):
+    """Groups of rows without id, and groups that share an id, keep one document each."""
+    rows = [(None, f"word{i} and others like number{i} of{i} them{i}") for i in range(30)]
+    rows += [(77, f"text{i} under one id with words{i} of{i} its{i} own{i}") for i in range(10)]
+    rows += [(None, "a copy of a text that has an id"), (5, "a copy of a text that has an id")] * 2
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = edges.select("doc_id", "text").unionByName(more)
+    marks = {brute.fingerprint(t): 0 for _, t in TEXTS + rows}
+    roots = union_find(len(marks), [
+        (a, b) for (a, x), (b, y) in itertools.combinations(enumerate(marks), 2) if (x ^ y).bit_count() <= 2
+    ])
+    group = dict(zip(marks, roots))
+    kept = simhash.one_of_each(docs, unique_ids=False).collect()
+    assert sorted(group[brute.fingerprint(r["text"])] for r in kept) == sorted(set(roots))
+    least = {}
+    for i, t in TEXTS + rows:
+        at = group[brute.fingerprint(t)]
+        least[at] = min(least.get(at, (True, 0)), (i is None, i or 0))
+    assert all(least[group[brute.fingerprint(r["text"])]] == (r["doc_id"] is None, r["doc_id"] or 0) for r in kept)
+    once = [r["doc_id"] for r in simhash.one_of_each(docs).collect()]
+    assert once.count(77) == 1 and once.count(None) == sum(r["doc_id"] is None for r in kept) >= 30
+
+
 def test_golay_keys_meet_within_two_bits():
     table = simhash.correction_table()
     random = np.random.default_rng(4)
