@@ -5,7 +5,8 @@ after its second half (the first one of a text after both), so each id is scored
 window before it or all there is. One attention head with a causal mask mixes
 the window's embeddings; the result gives a distribution over classes of ids, and
 an id's share of its class comes from its count in all training texts. Classes are runs of
-the sorted vocabulary of about equal count.
+the sorted vocabulary of about equal count. Training starts on a sample and then takes steps
+along gradients summed up in tasks, in which every id of every training text counts once.
 
 The unigram base needs the count of every word. Counts are summed up in tasks, then
 by word hash. The most frequent words, a bounded number, go to all tasks, which
@@ -25,9 +26,13 @@ from linkloom.sources.workspace import Workspace
 
 WINDOW, STEP = 32, 16
 WIDTH, CLASSES = 16, 32
-# The model's training sample: texts with the least hash of their id, of bounded length.
+# What the model starts from: texts with the least hash, long ones by parts of them.
 TRAIN_DOCS, TRAIN_CHARS = 400, 8_000
 TRAIN_ROUNDS, TRAIN_WINDOWS, RATE = 300, 128, 0.01
+# Then it learns from all texts: each belongs to one round, a step along the slopes summed over its texts.
+ALL_ROUNDS, ALL_RATE = 8, 0.03
+# Numbers in a row of slopes.
+SLOPE_BLOCK = 1_024
 # Words whose counts go to every task: 5 MB.
 FREQUENT = 300_000
 BLOCK_BYTES = 1 << 20
@@ -119,35 +124,80 @@ class Attention:
         found -= np.log(logits @ np.ones(logits.shape[1], np.float32))
         return found.reshape(count, n - first)
 
-    def gradients(self, ids, targets, used):
-        """Gradient of the mean log loss over the used places of full windows."""
-        p = self.p
-        logs, (x, q, k, v, weights, hidden) = self.forward(ids)
-        d_logits = np.exp(logs)
-        np.put_along_axis(
-            d_logits, targets[..., None], np.take_along_axis(d_logits, targets[..., None], 2) - 1, 2
-        )
-        d_logits *= (used / used.sum())[..., None]
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        d_hidden = d_logits @ p["out"].T
-        d_weights = d_hidden @ v.transpose(0, 2, 1)
-        d_scores = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
-        d_scores *= np.float32(WIDTH**-0.5)
-        d_q, d_k = d_scores @ k, d_scores.transpose(0, 2, 1) @ q
-        d_v = weights.transpose(0, 2, 1) @ d_hidden
-        d_x = d_hidden + d_q @ p["query"].T + d_k @ p["key"].T + d_v @ p["value"].T
-        d_ids = np.zeros_like(p["ids"])
-        np.add.at(d_ids, ids.ravel(), flat(d_x))
+    def slope_sums(self, ids, targets, used):
+        """Gradient of the summed log loss over the used places of full windows.
+
+        Of the embeddings only the rows of ids that occur, which are listed as ``at``.
+        """
+        p, (count, n) = self.p, ids.shape
+        flat, scale = ids.ravel(), np.float32(WIDTH**-0.5)
+        x = np.take(p["ids"], flat, axis=0).reshape(count, n, WIDTH)
+        x += p["spots"][:n]
+        x = x.reshape(-1, WIDTH)
+        projections = np.hstack([p["query"] * scale, p["key"], p["value"]])
+        parts = (slice(0, WIDTH), slice(WIDTH, 2 * WIDTH), slice(2 * WIDTH, 3 * WIDTH))
+        qkv = (x @ projections).reshape(count, n, 3 * WIDTH)
+        q, k, v = (qkv[:, :, part] for part in parts)
+        weights = q @ k.transpose(0, 2, 1)
+        np.exp(np.clip(weights, -80, 80, out=weights), out=weights)
+        weights *= self.late[:n, :n] == 0
+        weights /= (weights.reshape(-1, n) @ np.ones(n, np.float32)).reshape(count, n, 1)
+        hidden = x + (weights @ v).reshape(-1, WIDTH)
+        slopes = hidden @ p["out"]
+        slopes += p["bias"]
+        np.exp(np.clip(slopes, -80, 80, out=slopes), out=slopes)
+        slopes /= (slopes @ np.ones(slopes.shape[1], np.float32))[:, None]
+        slopes[np.arange(len(slopes)), targets.ravel()] -= 1
+        slopes *= used.reshape(-1, 1)
+        d_hidden = (slopes @ p["out"].T).reshape(count, n, WIDTH)
+        d_scores = d_hidden @ v.transpose(0, 2, 1)
+        d_scores -= np.einsum("ijk,ijk->ij", d_scores, weights)[:, :, None]
+        d_scores *= weights
+        d_qkv = np.empty_like(qkv)
+        np.matmul(d_scores, k, out=d_qkv[:, :, parts[0]])
+        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_qkv[:, :, parts[1]])
+        np.matmul(weights.transpose(0, 2, 1), d_hidden, out=d_qkv[:, :, parts[2]])
+        d_qkv = d_qkv.reshape(-1, 3 * WIDTH)
+        d_x = d_hidden.reshape(-1, WIDTH) + d_qkv @ projections.T
+        d_projections = x.T @ d_qkv
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         return {
-            "ids": d_ids,
-            "spots": d_x.sum(axis=0),
-            "query": flat(x).T @ flat(d_q),
-            "key": flat(x).T @ flat(d_k),
-            "value": flat(x).T @ flat(d_v),
-            "out": flat(hidden).T @ flat(d_logits),
-            "bias": flat(d_logits).sum(axis=0),
+            "at": flat[order][first],
+            "ids": np.add.reduceat(d_x[order], first, axis=0),
+            "spots": d_x.reshape(count, n, WIDTH).sum(axis=0),
+            "query": d_projections[:, parts[0]] * scale,
+            "key": d_projections[:, parts[1]],
+            "value": d_projections[:, parts[2]],
+            "out": hidden.T @ slopes,
+            "bias": slopes.sum(axis=0),
         }
 
+    def gradients(self, ids, targets, used):
+        """Gradient of the mean log loss over the used places of full windows."""
+        sums = self.slope_sums(ids, targets, used)
+        d_ids = np.zeros_like(self.p["ids"])
+        d_ids[sums.pop("at")] = sums["ids"]
+        return {k: s / used.sum() for k, s in (sums | {"ids": d_ids}).items()}
+
+    def text_slopes(self, texts, kinds, sums):
+        """Add to ``sums`` the slopes of all ids of the texts after the first, each id once."""
+        sizes = np.array(list(map(len, texts)), np.int64)
+        line = np.concatenate([*texts, np.zeros(WINDOW + 1, np.int64)])
+        begin = np.cumsum(sizes) - sizes
+        number = np.maximum(0, -(-(sizes - 1) // WINDOW))
+        owner = np.repeat(np.arange(len(sizes)), number)
+        starts = begin[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)) * WINDOW
+        ends = (begin + sizes)[owner]
+        for i in range(0, len(starts), TRAIN_WINDOWS):
+            at = starts[i : i + TRAIN_WINDOWS, None] + np.arange(WINDOW)
+            used = (at + 1 < ends[i : i + TRAIN_WINDOWS, None]).astype(np.float32)
+            found = self.slope_sums(line[at], kinds[line[at + 1]], used)
+            sums["ids"][found.pop("at")] += found.pop("ids")
+            for name, slope in found.items():
+                sums[name] += slope
+            sums["used"] += used.sum()
+
     def train(self, texts, kinds, rounds=TRAIN_ROUNDS, seed=11):
         """Fit on id lists: windows drawn from random places, all of them full or padded by the end id."""
         random = np.random.default_rng(seed)
@@ -281,6 +331,75 @@ def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
     return own.mapInArrow(run, f"doc_id {id_type}, tag int, learn boolean, ids binary")
 
 
+def _slopes_of_all(subwords: DataFrame, model: Attention, kinds) -> dict:
+    """Sums of slopes over all texts of ``subwords``, and the number of ids in ``used``.
+
+    Tasks send blocks of their sums, which are added up by block; the driver gets each block once.
+    """
+    shapes = {k: v.shape for k, v in model.p.items()} | {"used": (1,)}
+    ends = np.cumsum([0, *(np.prod(s) for s in shapes.values())])
+    shared = subwords.sparkSession.sparkContext.broadcast((model, kinds))
+
+    def zeros():
+        whole = np.zeros(ends[-1])
+        return whole, {k: whole[a:b].reshape(s) for (k, s), a, b in zip(shapes.items(), ends, ends[1:])}
+
+    def rows(blocks):
+        for at in range(0, len(blocks), ROWS_PER_PASS):
+            part = blocks[at : at + ROWS_PER_PASS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in part], pa.int64()), pa.array([v.tobytes() for _, v in part], pa.binary())],
+                ["block", "slopes"],
+            )
+
+    def run(batches):
+        model, kinds = shared.value
+        whole, sums = zeros()
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_PER_PASS):
+                packed = batch.column("ids").slice(at, ROWS_PER_PASS).to_pylist()
+                model.text_slopes([unpack_ids(p) for p in packed], kinds, sums)
+        if sums["used"][0]:
+            cut = [whole[i : i + SLOPE_BLOCK] for i in range(0, len(whole), SLOPE_BLOCK)]
+            yield from rows([(i, c) for i, c in enumerate(cut) if c.any()])
+
+    def add(batches):
+        found = {}
+        for batch in batches:
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("slopes")):
+                slopes = np.frombuffer(packed.as_buffer())
+                found[block] = found[block] + slopes if block in found else slopes.copy()
+        yield from rows(sorted(found.items()))
+
+    kind = "block bigint, slopes binary"
+    table = subwords.select("ids").mapInArrow(run, kind).repartition("block").mapInArrow(add, kind).toArrow()
+    whole, sums = zeros()
+    for block, packed in zip(table["block"].to_pylist(), table["slopes"].to_pylist()):
+        whole[block * SLOPE_BLOCK :][:SLOPE_BLOCK] = np.frombuffer(packed)
+    shared.destroy()
+    return sums
+
+
+def learn_from_all(model: Attention, subwords: DataFrame, kinds, rounds: int = ALL_ROUNDS) -> int:
+    """Steps of Adam from round to round, each over the whole texts that belong to it; the ids learnt from."""
+    first = {k: np.zeros(v.shape) for k, v in model.p.items()}
+    second = {k: np.zeros(v.shape) for k, v in model.p.items()}
+    own_round = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(rounds))
+    total, t = 0, 0
+    for number in range(rounds):
+        sums = _slopes_of_all(subwords.where(F.col("learn") & (own_round == number)), model, kinds)
+        used = sums.pop("used")[0]
+        if not used:
+            continue
+        total, t = total + int(used), t + 1
+        for name, slope in sums.items():
+            first[name] += 0.3 * (slope / used - first[name])
+            second[name] += 0.1 * ((slope / used) ** 2 - second[name])
+            move = first[name] / (1 - 0.7**t) / (np.sqrt(second[name] / (1 - 0.9**t)) + 1e-8)
+            model.p[name] -= (ALL_RATE * move).astype(np.float32)
+    return total
+
+
 def _id_counts(subwords: DataFrame, size: int) -> np.ndarray:
     """Count of every subword id over all training texts: one row per id."""
 
@@ -302,7 +421,7 @@ def _id_counts(subwords: DataFrame, size: int) -> np.ndarray:
 
 
 def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs: int = TRAIN_DOCS) -> Scorer:
-    """Classes from the ids of all texts to learn from; attention on a bounded sample of them."""
+    """Classes and attention from the ids of all texts to learn from; a sample gives the start."""
     model = load(model_file)
     counts = _id_counts(subwords, model.get_piece_size())
     kinds, shares = id_classes(counts, [model.id_to_piece(i) for i in range(len(counts))])
@@ -310,6 +429,7 @@ def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs
     attention = Attention(len(counts))
     table = ChunkTable(model, decode=False)
     attention.train(subword_ids(texts, table), kinds)
+    learn_from_all(attention, subwords, kinds)
     return Scorer(attention, kinds, shares)
 
 

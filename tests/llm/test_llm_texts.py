@@ -379,6 +379,29 @@ def test_lm_query(spark, documents):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) for r in got)
 
 
+def test_model_learns_from_every_text(spark):
+    """Each id of each text, long ones too, counts once, with the slopes of one pass over it."""
+    pick = np.random.default_rng(6)
+    sizes = [2, 3, lm.WINDOW, lm.WINDOW + 1, lm.WINDOW + 2, 1, 500, 30_000, 40, 40]
+    texts = [pick.integers(0, 300, n) for n in sizes]
+    kinds = pick.integers(0, lm.CLASSES, 300)
+    rows = [(i if i < 8 else None, i, i != 3, bytearray(lm.pack_ids(t))) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id int, tag int, learn boolean, ids binary").repartition(3)
+    net = lm.Attention(300)
+    start = {k: v.copy() for k, v in net.p.items()}
+    got = lm._slopes_of_all(frame, net, kinds)
+    want = {k: np.zeros(v.shape) for k, v in net.p.items()}
+    for text in texts:
+        for i in range(0, len(text) - 1, lm.WINDOW):
+            part = text[i : i + lm.WINDOW + 1]
+            for k, slope in net.gradients(part[None, :-1], kinds[part[None, 1:]], np.ones((1, len(part) - 1))).items():
+                want[k][: len(slope)] += slope * (len(part) - 1)
+    assert got.pop("used")[0] == sum(n - 1 for n in sizes)
+    assert all(np.allclose(got[k], want[k], rtol=1e-3, atol=1e-2) for k in want)
+    assert lm.learn_from_all(net, frame, kinds) == sum(n - 1 for n in sizes) - sizes[3] + 1
+    assert all((net.p[k] != start[k]).any() for k in start)
+
+
 def test_packed_ids():
     ids = np.array([1, 31999, 2, 256, 0])
     assert list(lm.unpack_ids(lm.pack_ids(ids))) == list(ids)
