@@ -17,7 +17,7 @@ from linkloom.llm.words import flat_words, gram_hashes, hash_words, mix, slices
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
-# The training sample: documents with the least hash of their id, of bounded length.
+# The training sample: documents with the least hash, long ones by runs of their lines.
 TRAIN_DOCS = 600
 TRAIN_CHARS = 12_000
 TRAIN_ROUNDS = 80
@@ -204,7 +204,7 @@ def _repeat_words(flat, counts):
 
 
 def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list:
-    """Feature rows of at most ``train_docs`` documents of at most ``TRAIN_CHARS`` characters."""
+    """Feature rows of at most ``train_docs`` documents, of at most ``TRAIN_CHARS`` characters of each."""
     found = sample_texts(docs, train_docs, TRAIN_CHARS)
     return [line_features(r["text"].split("\n")) for r in found if r["text"]]
 

@@ -40,7 +40,7 @@ STATS = 8
 FEW = 60
 EM_ROUNDS = 200
 LEAST_ACCURACY = 0.85
-# The scorer's training sample: documents with the least hash of their id.
+# The scorer's training sample: documents with the least hash, long ones by parts of them.
 TRAIN_DOCS = 3_000
 TRAIN_CHARS = 50_000
 TRAIN_ROUNDS = 300
@@ -189,8 +189,8 @@ def _vote_counts(own: DataFrame) -> DataFrame:
 
 
 def train(own: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
-    """Votes of all of ``own`` (doc_id, text), then the scorer on at most ``train_docs`` texts of
-    at most ``TRAIN_CHARS`` characters. None if there is no document.
+    """Votes of all of ``own`` (doc_id, text), then the scorer on at most ``train_docs`` texts, on
+    at most ``TRAIN_CHARS`` characters of each. None if there is no document.
     """
     table = _vote_counts(own).orderBy("pattern").toArrow()
     if not table.num_rows:
@@ -198,15 +198,17 @@ def train(own: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
     patterns = table["pattern"].to_numpy()
     good, accuracy = expectation_maximisation(patterns, table["n"].to_numpy())
     posterior = dict(zip(patterns.tolist(), good.tolist()))
-    texts = [r["text"] for r in sample_texts(own, train_docs, TRAIN_CHARS)]
-    if not texts:
+    # Labels come from the votes on whole texts.
+    found = sample_texts(own, train_docs, TRAIN_CHARS, mark=lambda text: pattern_of(statistics(text)[1]))
+    if not found:
         return Scorer(posterior, accuracy, np.zeros(BUCKETS + STATS + 1))
-    stats, votes = zip(*map(statistics, texts))
+    texts = [r["text"] for r in found]
+    stats = [statistics(t)[0] for t in texts]
     blocks = [
         features(texts[i : i + 100], np.array(stats[i : i + 100])).astype(np.float32)
         for i in range(0, len(texts), 100)
     ]
-    target = np.array([posterior[pattern_of(v)] for v in votes])
+    target = np.array([posterior[r["mark"]] for r in found])
     return Scorer(posterior, accuracy, train_scorer(np.vstack(blocks), target))
 
 

@@ -16,7 +16,7 @@ from odd_rows import FOLDER, TEXTS, documents, edges, engine, nothing, union_fin
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from linkloom.llm import decontam, langid, lines, lm, pieces, quality, repeats, simhash
+from linkloom.llm import decontam, langid, lines, lm, pieces, quality, repeats, simhash, tables
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -544,6 +544,37 @@ def test_accuracies_are_recovered():
     assert np.abs(found - accuracy).max() < 0.02
 
 
+def test_sample_has_long_texts(spark):
+    """The bound is reached from long texts, from rows without id, and beside many empty rows."""
+    long = [(None, "".join(f"text {i} line {j} of it.\n" for j in range(400))) for i in range(600)]
+    rows = long + [(i, " \t") for i in range(2_000)] + [(i, None) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    got = tables.sample_texts(frame, 60, 1_000, mark=len)
+    assert len({r["text"].split()[1] for r in got}) == 60
+    assert all(r["mark"] > 1_000 >= len(r["text"]) > 700 for r in got)
+    seen = [int(line.split()[3]) for r in got for line in r["text"].splitlines()]
+    assert min(seen) < 20 and max(seen) > 380
+    everywhere = {line for _, t in long for line in t.splitlines()}
+    assert all(line in everywhere for r in got for line in r["text"].splitlines())
+    same = spark.createDataFrame([(1, "the same text")] * 700, "doc_id int, text string")
+    assert len(tables.sample_texts(same, 60, 1_000)) == 60
+    for text in ("x" * 500, "word " * 200, " " * 400 + "end", "a\n" * 300):
+        assert tables.excerpt(text, 100).split() and len(tables.excerpt(text, 100)) <= 100
+
+
+def test_long_documents_are_learnt_from(spark, engine, monkeypatch):
+    """With a cut below every text's length the scorer still tells junk, and lines get weights."""
+    monkeypatch.setattr(quality, "TRAIN_CHARS", 400)
+    monkeypatch.setattr(lines, "TRAIN_CHARS", 400)
+    truth = dict(engine.execute("SELECT doc_id, quality FROM labels").fetchall())
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(text) > 400")
+    got = [r for r in quality.classify(docs).collect() if r["doc_id"] in truth]
+    kept = [[r["kept"] for r in got if truth[r["doc_id"]] == q] for q in (0, 1)]
+    assert sum(kept[0]) / len(kept[0]) < 0.6 < 0.8 < sum(kept[1]) / len(kept[1])
+    weights, _ = lines.train_crf(lines.training_sample(docs))
+    assert np.abs(weights).max() > 0.1
+
+
 def test_quality_on_odd_rows(edges, nothing):
     got = quality.classify(edges).collect()
     assert len(got) == len(TEXTS)
