@@ -6,7 +6,20 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, decontam, langid, lines, lm, pieces, quality, repeats, simhash, urls
+from linkloom.llm import (
+    chat,
+    decontam,
+    langid,
+    lines,
+    lm,
+    pieces,
+    quality,
+    repeats,
+    resample,
+    simhash,
+    urls,
+)
+from linkloom.llm.sampling_sql import OP13_SQL
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -155,6 +168,11 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's texts."""
+    return resample.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 OP3_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -276,6 +294,7 @@ def llm_queries():
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filters": op10_url_filters,
+        "op13_resampling": op13_resampling,
     }
 
 
@@ -286,4 +305,5 @@ def llm_oracle_sql():
         "op7_chat_formatting": OP7_SQL,
         "op8_decontamination": OP8_SQL,
         "op10_url_filters": OP10_SQL,
+        "op13_resampling": OP13_SQL,
     }
