@@ -17,9 +17,10 @@ from linkloom.llm import (
     repeats,
     resample,
     simhash,
+    spelling,
     urls,
 )
-from linkloom.llm.sampling_sql import OP13_SQL
+from linkloom.llm.sampling_sql import OP12_SQL, OP13_SQL
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -168,6 +169,11 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Form and root of every word of the documents, with one run in 97 misspelt."""
+    return spelling.group_variants(_read(spark, folder, "documents"), drop_every=97)
+
+
 def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
     """Weight, score and rank of every document in a draw towards the benchmark's texts."""
     return resample.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
@@ -294,6 +300,7 @@ def llm_queries():
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filters": op10_url_filters,
+        "op12_spelling": op12_spelling,
         "op13_resampling": op13_resampling,
     }
 
@@ -305,5 +312,6 @@ def llm_oracle_sql():
         "op7_chat_formatting": OP7_SQL,
         "op8_decontamination": OP8_SQL,
         "op10_url_filters": OP10_SQL,
+        "op12_spelling": OP12_SQL,
         "op13_resampling": OP13_SQL,
     }

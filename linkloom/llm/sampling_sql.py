@@ -66,3 +66,43 @@ sc AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS spot, count(*) FILTER (able) OVER () AS n FROM sc)
 SELECT doc_id, n_features, weight, score, CASE WHEN able AND spot <= 25 * n // 100 THEN spot END AS rank FROM r
 """
+
+OP12_SQL = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), '{_UPPER}', '{_LOWER}') AS run
+  FROM documents
+),
+c AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY doc_id, run),
+h AS (SELECT run, n, {crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM c),
+m AS (
+  SELECT n, CASE WHEN h % 97 = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM h
+),
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM m WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM v)
+),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.i = b.i AND a.k = b.k AND a.word <> b.word
+  UNION SELECT less.word, v.word, v.n FROM less JOIN v ON less.k = v.word
+  UNION SELECT v.word, less.word, less.n FROM less JOIN v ON less.k = v.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS near_n, arg_min(other, (-n, other)) AS other FROM near GROUP BY word
+),
+f AS (
+  SELECT v.word, CASE WHEN near_n >= 2 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS root FROM f
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON chain.root = f.word WHERE f.form IS NOT NULL
+),
+ends AS (SELECT chain.word, root FROM chain JOIN f ON chain.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+"""
