@@ -16,6 +16,7 @@ from linkloom.llm import (
     quality,
     repeats,
     resample,
+    secrets,
     simhash,
     spelling,
     urls,
@@ -23,6 +24,7 @@ from linkloom.llm import (
 from linkloom.llm.sampling_sql import OP12_SQL, OP13_SQL
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 # The rules that the URL query applies, as (action, host, path).
@@ -169,6 +171,29 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and places of possible secrets in every document."""
+    found = secrets.find_secrets(
+        _read(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN
+    )
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] != secrets.RANDOM)
+    return found.select(
+        "doc_id",
+        count(secrets.ASSIGN).alias("n_assign"),
+        count(secrets.ACCESS).alias("n_access"),
+        count(secrets.HEX).alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     """Form and root of every word of the documents, with one run in 97 misspelt."""
     return spelling.group_variants(_read(spark, folder, "documents"), drop_every=97)
@@ -300,6 +325,7 @@ def llm_queries():
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filters": op10_url_filters,
+        "op11_secrets": op11_secrets,
         "op12_spelling": op12_spelling,
         "op13_resampling": op13_resampling,
     }

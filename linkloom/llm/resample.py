@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from linkloom.llm.runs import byte_table, crc_matrices, cut_out, find_runs, text_bytes
+from linkloom.llm.runs import LOWERED, byte_table, crc_matrices, cut_out, find_runs, text_bytes
 from linkloom.llm.words import slices
 from linkloom.sources.workspace import Workspace
 
@@ -31,7 +31,7 @@ SLICE_BYTES = 1 << 21
 # Fixed value: rows per partition that monotonically_increasing_id counts up to.
 PLACE_BITS = 33
 
-LOWERED, IN_WORD = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
+IN_WORD = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 
 
 def feature_buckets(column, buckets=BUCKETS):

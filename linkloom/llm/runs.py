@@ -13,12 +13,12 @@ LONG_BYTES = 512
 MATRIX_BYTES = 1 << 21
 
 
-def byte_table(inside, lower=True):
-    """(lowering, membership) tables over all byte values; ``inside`` tells the bytes of a run."""
-    values = np.arange(256)
-    upper = (values >= 65) & (values <= 90)
-    lowering = np.where(upper & lower, values + 32, values).astype(np.uint8)
-    return lowering, np.array([bool(inside(v)) for v in lowering])
+LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def byte_table(inside):
+    """Which byte values belong to a run."""
+    return np.array([bool(inside(v)) for v in range(256)])
 
 
 def text_bytes(column):

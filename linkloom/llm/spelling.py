@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from linkloom.llm.runs import byte_table, crc_matrices, cut_out, find_runs, text_bytes
+from linkloom.llm.runs import LOWERED, byte_table, crc_matrices, cut_out, find_runs, text_bytes
 from linkloom.llm.words import slices
 from linkloom.sources.workspace import Workspace
 
@@ -38,8 +38,7 @@ LAST = chr(0x10FFFF)
 
 # --- words
 
-
-LOWERED, ASCII_LETTER = byte_table(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
+ASCII_LETTER = byte_table(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 # U+00C0 to U+00FF are this byte and one of 0x80 to 0xBF.
 LEAD = 0xC3
 
