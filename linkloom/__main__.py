@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint-dir", help="default: spark.checkpoint.dir")
     parser.add_argument("--method", default="star", choices=["star", "min_label"])
     parser.add_argument("--overwrite", action="store_true")
+    parser.add_argument("--run-id", help="name of the job: a second call goes on where the first stopped")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("linkloom").getOrCreate()
@@ -28,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
         args.checkpoint_dir,
         args.method,
         "overwrite" if args.overwrite else "errorifexists",
+        args.run_id,
     )
     for step in result.rounds:
         print(f"round {step.round}: changed {step.changed} in {step.seconds:.2f} s")

@@ -15,6 +15,12 @@ such keys the broadcast is empty.
 
 Both steps say of every row whether it moved. A round in which none did has
 left stars only.
+
+Settled stars. Call a vertex touched if it is an end of a row that moved in the round before. A row whose ``lo`` is
+not touched belongs to a star that is finished and is its whole component: rows of ``lo`` as ``hi``, rows of
+``hi`` as ``lo``, and further rows of ``hi`` would each have moved, in the large or the small step, and
+brought a moved row to ``lo``. The large step marks such rows as settled, with the lookup that it makes
+anyway, and they need not take part any more.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -37,12 +43,14 @@ def pair_edges(pairs: DataFrame) -> DataFrame:
 
 
 def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int) -> DataFrame:
-    """``rows`` with ``least`` from ``table`` (vertex, least, load, useful).
+    """``rows`` with ``least`` from ``table`` (vertex, least, load, useful), and whether they are ``listed``.
 
-    ``least`` is NULL without an entry, or where the entry is not ``useful``.
+    ``least`` is NULL, and ``listed`` false, without an entry, or where the entry is not ``useful``.
     """
     hot = table.where(F.col("load") > limit).select(
-        F.col("vertex").alias("hot_vertex"), F.col("least").alias("hot_least")
+        F.col("vertex").alias("hot_vertex"),
+        F.col("least").alias("hot_least"),
+        F.col("useful").alias("hot_useful"),
     )
     rest = table.where((F.col("load") <= limit) & F.col("useful"))
     is_hot = F.col("hot_vertex").isNotNull()
@@ -50,22 +58,38 @@ def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int
     return (
         rows.join(F.broadcast(hot), F.col(key) == F.col("hot_vertex"), "left")
         .join(rest, (spread_key == F.col("vertex")) & ~is_hot, "left")
-        .select(*rows.columns, F.coalesce("hot_least", "least").alias("least"))
+        .select(
+            *rows.columns,
+            F.coalesce("hot_least", "least").alias("least"),
+            F.coalesce("hot_useful", F.col("vertex").isNotNull()).alias("listed"),
+        )
     )
 
 
 def large_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Re-attach the larger end of every edge to the least neighbour of its smaller end.
 
-    Rows (hi, lo, moved); they may repeat. ``limit`` is the hot-key limit.
+    Rows (hi, lo, moved, settled); they may repeat. ``limit`` is the hot-key limit. Where ``edge_rows`` say
+    which of them ``moved`` in the round before, settled rows are told from the others.
     """
-    edge_rows = edge_rows.select("hi", "lo")
-    least = edge_rows.groupBy(F.col("hi").alias("vertex")).agg(F.min("lo").alias("least"))
-    load = edge_rows.groupBy(F.col("lo").alias("vertex")).agg(F.count("*").alias("load"))
-    table = load.join(least, "vertex", "left").withColumn("useful", F.col("least").isNotNull())
-    found = _look_up(edge_rows, "lo", "hi", table, limit)
+    if "moved" not in edge_rows.columns:
+        edge_rows = edge_rows.withColumn("moved", F.lit(True))
+    # One row per end: the larger end learns its least neighbour, the smaller one how many rows it has.
+    as_hi = F.struct(F.col("hi").alias("vertex"), F.col("lo").alias("below"), F.lit(0).alias("row"))
+    as_lo = F.struct(F.col("lo").alias("vertex"), F.lit(None).cast("bigint").alias("below"), F.lit(1).alias("row"))
+    table = (
+        edge_rows.select("moved", F.inline(F.array(as_hi, as_lo)))
+        .groupBy("vertex")
+        .agg(F.min("below").alias("least"), F.sum("row").alias("load"), F.max("moved").alias("touched"))
+        .where(F.col("load") > 0)
+        .select("vertex", "least", "load", (F.col("least").isNotNull() | F.col("touched")).alias("useful"))
+    )
+    found = _look_up(edge_rows.select("hi", "lo"), "lo", "hi", table, limit)
     return found.select(
-        "hi", F.coalesce("least", "lo").alias("lo"), F.col("least").isNotNull().alias("moved")
+        "hi",
+        F.coalesce("least", "lo").alias("lo"),
+        F.col("least").isNotNull().alias("moved"),
+        (~F.col("listed")).alias("settled"),
     )
 
 
@@ -83,7 +107,7 @@ def small_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
         .agg(F.min("lo").alias("least"), F.count("*").alias("load"))
         .withColumn("useful", F.col("load") > 1)
     )
-    found = _look_up(edge_rows, "hi", "lo", table, limit)
+    found = _look_up(edge_rows.select("hi", "lo", "moved"), "hi", "lo", table, limit)
     moves = F.coalesce(F.col("lo") > F.col("least"), F.lit(False))
     return (
         found.select(
@@ -96,19 +120,28 @@ def small_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def star_labels(edge_rows: DataFrame, self_pairs: DataFrame | None = None) -> DataFrame:
-    """(vertex, component) from the finished stars; their centres label themselves.
+def star_sizes(edge_rows: DataFrame, lone: DataFrame | None = None) -> DataFrame:
+    """(component, size) from the finished stars, in one aggregate over their rows.
 
-    ``self_pairs`` are rows with hi = lo: they add vertices that have no other
-    edge and change no label.
+    ``lone`` (vertex) has the vertices that are in no star.
     """
-    leaf = F.struct(F.col("hi").alias("vertex"), F.col("lo").alias("component"))
-    centre = F.struct(F.col("lo").alias("vertex"), F.col("lo").alias("component"))
-    rows = edge_rows.select("hi", "lo")
-    if self_pairs is not None:
-        rows = rows.unionByName(self_pairs.select("hi", "lo"))
-    return (
-        rows.select(F.inline(F.array(leaf, centre)))
-        .groupBy("vertex")
-        .agg(F.min("component").alias("component"))
-    )
+    sizes = edge_rows.groupBy(F.col("lo").alias("component")).agg((F.count("*") + 1).alias("size"))
+    if lone is None:
+        return sizes
+    return sizes.unionByName(lone.select(F.col("vertex").alias("component"), F.lit(1).cast("bigint").alias("size")))
+
+
+def lone_vertices(self_pairs: DataFrame, edge_rows: DataFrame) -> DataFrame:
+    """Vertices with a pair of their own and no place in any finished star."""
+    leaf, centre = F.col("hi").alias("vertex"), F.col("lo").alias("vertex")
+    placed = edge_rows.select(leaf).unionByName(edge_rows.select(centre).distinct())
+    return self_pairs.select(leaf).distinct().join(placed, "vertex", "left_anti")
+
+
+def star_labels(edge_rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(vertex, component) from the finished stars and their ``star_sizes``.
+
+    Each leaf has one row, and each component one size, whose label is its centre: nothing is shuffled.
+    """
+    leaves = edge_rows.select(F.col("hi").alias("vertex"), F.col("lo").alias("component"))
+    return leaves.unionByName(sizes.select(F.col("component").alias("vertex"), "component"))

@@ -17,13 +17,9 @@ def top_components(stats: DataFrame, k: int = 10) -> DataFrame:
     return stats.orderBy(F.desc("size"), F.asc("component")).limit(k)
 
 
-def largest_component_members(labels: DataFrame, stats: DataFrame) -> DataFrame:
-    """Vertices of the largest component; none for an empty graph.
-
-    The right side is one row, so the labels are filtered where they lie.
-    """
-    largest = top_components(stats, 1).select("component")
-    return labels.join(F.broadcast(largest), "component", "left_semi").select(
+def members_of(labels: DataFrame, component: int | None) -> DataFrame:
+    """Vertices of one component, by a filter that reaches the scan; none for None."""
+    return labels.where(F.col("component") == F.lit(component).cast("bigint")).select(
         "vertex", "component"
     )
 

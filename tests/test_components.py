@@ -227,5 +227,5 @@ def test_superseded_tables_are_dropped(spark, tmp_path):
     pairs = pairs_of(spark, SHAPES["path"])
     for method in METHODS:
         run = connected_components(pairs, method=method, checkpoint_dir=str(tmp_path / method))
-        assert len(os.listdir(run.workspace.folder)) == 1
+        assert len(os.listdir(run.workspace.folder)) == 2
         assert not [t.name for t in spark.catalog.listTables() if "salted" in t.name]

@@ -181,15 +181,15 @@ def test_round_shuffles_labels_and_not_edges(spark, conf, tmp_path):
     assert rows(senders) == [(0, 20)]
     work = Workspace(spark, str(tmp_path))
     salted = work.store_bucketed(
-        propagation.salted_edges(edge_list, senders), "edges", "src", "salt"
+        propagation.salted_edges(edge_list, senders), "edges", "slot"
     )
     given = spark.range(60_000).selectExpr("id as vertex", "id as component")
     labels, _ = work.store(propagation.start_labels(given, senders), "labels")
     after = propagation.propagate(salted, labels)
     text = plan(after)
-    assert "hashpartitioning(src" not in text
+    assert "hashpartitioning(src" not in text and "hashpartitioning(slot" not in text
     assert text.count("Exchange hashpartitioning") == 2
-    assert "hashpartitioning(sender" in text and "hashpartitioning(vertex" in text
+    assert "hashpartitioning(told_slot" in text and "hashpartitioning(vertex" in text
     sizes = [
         r["count"]
         for r in salted.where("src = 0").groupBy(F.input_file_name()).count().collect()
@@ -255,8 +255,49 @@ def test_labels_are_stored_once(spark, conf):
         run = connected_components(pairs, method=method)
         text = plan(run.largest_component_vertices)
         assert "Union" not in text and "Generate" not in text
-        assert text.count("FileScan") == 2
+        assert text.count("FileScan") == 1 and "EqualTo(component,0)" in text
         assert all("/labels" in f for f in run.vertices.inputFiles())
+        text = plan(run.component_stats)
+        assert text.count("FileScan") == 1 and "Exchange" not in text
+        assert all("/sizes/" in f for f in run.component_stats.inputFiles())
+
+
+def test_one_aggregate_gives_sizes_and_labels(spark, conf):
+    """Labels of finished stars are written from their rows and sizes without another shuffle."""
+    conf(adaptive__enabled="false")
+    star_rows = spark.range(1, 50).selectExpr("id as hi", "id % 3 as lo").where("hi > 2")
+    sizes = stars.star_sizes(star_rows)
+    assert plan(sizes).count("Exchange") == 1
+    stored = spark.createDataFrame(sizes.collect(), sizes.schema)
+    labels = stars.star_labels(star_rows, stored)
+    assert "Exchange" not in plan(labels)
+    assert sorted(labels.groupBy("component").count().collect()) == sorted(stored.collect())
+
+
+def test_late_rounds_read_few_edge_buckets(spark, conf, tmp_path):
+    """The edges of the vertices that changed decide what a round reads, hot ones included."""
+    conf(adaptive__enabled="false", shuffle__partitions="32", autoBroadcastJoinThreshold="-1")
+    edge_list = hot(spark, 20_000).selectExpr("k as src", "v as dst")
+    senders = propagation.hot_senders(edge_list, 2000)
+    work = Workspace(spark, str(tmp_path))
+    salted = work.store_bucketed(propagation.salted_edges(edge_list, senders), "edges", "slot")
+    given = spark.range(20_000).selectExpr("id as vertex", "id as component")
+    for changed, most in (("vertex = 17", 1), ("vertex IN (1, 5, 7)", 3), ("vertex = 0", 4), ("false", 0)):
+        labels = propagation.start_labels(given, senders).withColumn("changed", F.expr(changed))
+        stored, seen = work.store(
+            labels, f"labels-{abs(hash(changed))}", slots=F.sum(F.when(F.col("changed"), F.col("salts")))
+        )
+        edges = propagation.reached_edges(salted, stored, seen["slots"] or 0)
+        found = propagation.propagate(edges, stored)
+        assert rows(found, "vertex", "component") == rows(propagation.propagate(salted, stored), "vertex", "component")
+        text = plan(found)
+        assert "hashpartitioning(slot" not in text
+        read = re.search(r"SelectedBucketsCount: (\d+) out of 32", text)
+        assert int(read[1]) <= most if most else read is None and "salted" not in text
+    labels = propagation.start_labels(given, senders)
+    assert propagation.reached_edges(salted, labels, propagation.MOST_SLOTS + 1) is salted
+    assert propagation.reached_edges(salted, labels, None) is salted
+    work.drop()
 
 
 def test_targets_of_unflagged_pages_are_shuffled_once(stored, conf):

@@ -1,0 +1,259 @@
+"""Runs that stop and go on, results that are published as a whole, and folders that are freed."""
+
+import os
+
+import pytest
+from conftest import rows
+
+from linkloom import connected_components, load_tables, read_results, run_job, scope
+from linkloom.plans import components, job
+from linkloom.sources.workspace import MarkLog, Workspace
+
+METHODS = ["star", "min_label"]
+# A long path and many small components.
+PAIRS = [(i, i + 1) for i in range(40)] + [(100 + 3 * i, 101 + 3 * i) for i in range(50)]
+WANT = sorted([(v, 0) for v in range(41)] + [(100 + 3 * i + d, 100 + 3 * i) for i in range(50) for d in (0, 1)])
+
+
+@pytest.fixture
+def pairs(spark):
+    return spark.createDataFrame(PAIRS, "page_a long, page_b long")
+
+
+class Stopped(BaseException):
+    """Stands for the end of the driver."""
+
+
+def stop_at(monkeypatch, owner, name, number):
+    """Let the call ``number`` (from 1) of a function end the driver."""
+    own, calls = getattr(owner, name), []
+
+    def counted(*args, **options):
+        calls.append(1)
+        if len(calls) == number:
+            raise Stopped
+        return own(*args, **options)
+
+    monkeypatch.setattr(owner, name, counted)
+    return calls
+
+
+# --- resume
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_run_goes_on_after_its_last_round(spark, pairs, method, tmp_path, monkeypatch):
+    options = {"method": method, "checkpoint_dir": str(tmp_path), "run_id": "nightly"}
+    with pytest.raises(RuntimeError, match="not settled after 2"):
+        connected_components(pairs, max_rounds=2, **options)
+    folder = tmp_path / "run-nightly"
+    (folder / "edges-9").mkdir()
+    (folder / "edges-9" / "part-0.parquet").write_text("half a file")
+    for entry in spark.catalog.listTables():
+        if "salted" in entry.name:
+            # A new session with a catalog of its own does not know the table.
+            spark.sql(f"DROP TABLE {entry.name}")
+    started = []
+    one_round = components._one_round
+
+    def watched(state, work, advance):
+        started.append(len(state["rounds"]))
+        return one_round(state, work, advance)
+
+    monkeypatch.setattr(components, "_one_round", watched)
+    unreadable = spark.createDataFrame([], "page_a long, page_b long")
+    run = connected_components(unreadable, **options)
+    assert started[0] == 2 and [r.round for r in run.rounds] == list(range(len(run.rounds)))
+    assert rows(run.vertices) == WANT and run.largest == 0
+    assert not (folder / "edges-9").exists()
+    whole = connected_components(pairs, method=method)
+    assert [(r.round, r.changed, r.rows) for r in run.rounds] == [(r.round, r.changed, r.rows) for r in whole.rounds]
+    # A finished run answers from its tables.
+    started.clear()
+    again = connected_components(unreadable, **options)
+    assert rows(again.vertices) == WANT and rows(again.component_stats) == rows(run.component_stats)
+    assert not started
+    with pytest.raises(ValueError, match="was begun with"):
+        connected_components(pairs, hot_rows=7, **options)
+    again.workspace.drop()
+    assert os.listdir(tmp_path) == []
+
+
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("number", [2, 5, 7])
+def test_run_that_stops_in_any_write_goes_on(spark, pairs, method, number, tmp_path, monkeypatch):
+    """The driver ends within a job that stores a table; half of the table stays behind."""
+    options = {"method": method, "checkpoint_dir": str(tmp_path), "run_id": "r1"}
+    own, calls = Workspace.store, []
+
+    def broken(self, frame, name, *args, **metrics):
+        calls.append(name)
+        if len(calls) == number:
+            os.makedirs(f"{tmp_path}/run-r1/{name}/_temporary/0")
+            raise Stopped
+        return own(self, frame, name, *args, **metrics)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Workspace, "store", broken)
+        with pytest.raises(Stopped):
+            connected_components(pairs, **options)
+    run = connected_components(pairs, **options)
+    assert rows(run.vertices) == WANT
+    assert sorted(n for n in os.listdir(run.workspace.folder) if n != "_marks") == sorted(
+        {"sizes", "labels" if method == "star" else f"labels-{len(run.rounds)}"}
+    )
+
+
+def test_unnamed_run_leaves_nothing_after_a_stop(spark, pairs, tmp_path, monkeypatch):
+    stop_at(monkeypatch, components, "_one_round", 2)
+    with pytest.raises(Stopped):
+        connected_components(pairs, checkpoint_dir=str(tmp_path))
+    assert os.listdir(tmp_path) == []
+
+
+def test_marks(spark, tmp_path):
+    log = MarkLog(spark, str(tmp_path))
+    assert log.last() is None and log.numbers() == []
+    assert [log.add({"n": i}) for i in range(3)] == [0, 1, 2]
+    (tmp_path / "_marks" / "_draft-x").write_text("{half")
+    assert log.last() == (2, {"n": 2})
+    log.forget(0)
+    assert log.numbers() == [1, 2] and log.add({}) == 3
+
+
+def test_two_writers_of_one_mark(spark, tmp_path, monkeypatch):
+    log = MarkLog(spark, str(tmp_path))
+    log.add({"n": 0})
+    monkeypatch.setattr(MarkLog, "numbers", lambda self: [])
+    with pytest.raises(RuntimeError, match="another writer"):
+        log.add({"n": 1})
+    assert log.read(0) == {"n": 0}
+
+
+def test_run_ids_are_names(spark, pairs):
+    for bad in ("", "a/b", "..", "a b"):
+        with pytest.raises(ValueError, match="run id"):
+            connected_components(pairs, run_id=bad)
+
+
+# --- contraction
+
+
+def test_settled_stars_leave_the_working_table(spark, tmp_path):
+    """Many finished components and one long path: rounds work on fewer and fewer rows."""
+    many = [(1000 + 4 * i, 1000 + 4 * i + d) for i in range(300) for d in (1, 2, 3)]
+    path = [(i, i + 1) for i in range(60)]
+    frame = spark.createDataFrame(many + path, "page_a long, page_b long")
+    run = connected_components(frame, checkpoint_dir=str(tmp_path))
+    sizes = [r.rows for r in run.rounds]
+    assert sizes[0] == 960 and sizes == sorted(sizes, reverse=True)
+    assert sizes[1] == sizes[0] and all(n <= 60 for n in sizes[2:]) and len(sizes) > 4
+    want = [(1000 + 4 * i + d, 1000 + 4 * i) for i in range(300) for d in range(4)]
+    assert rows(run.vertices) == sorted(want + [(v, 0) for v in range(61)])
+    assert rows(run.component_stats) == [(0, 61)] + [(1000 + 4 * i, 4) for i in range(300)]
+
+
+# --- publication
+
+
+@pytest.fixture
+def stored(harbour, tmp_path):
+    paths = {}
+    for name, frame in harbour._asdict().items():
+        paths[name] = str(tmp_path / "in" / name)
+        frame.write.parquet(paths[name])
+    return paths
+
+
+def contents(found):
+    return [rows(getattr(found, name)) for name in job.RESULTS]
+
+
+@pytest.mark.parametrize("number, run_id", [(1, None), (2, "w"), (3, "w"), (4, "w"), (5, None), (5, "w")])
+def test_readers_see_one_version(spark, stored, tmp_path, monkeypatch, number, run_id):
+    out, scratch = str(tmp_path / "out"), tmp_path / "scratch"
+    old = contents(run_job(load_tables(spark, stored), out, str(scratch)))
+    more = load_tables(spark, stored)
+    more = more._replace(pagelinks=more.pagelinks.union(spark.createDataFrame([(13, 0, 106), (16, 0, 103)], more.pagelinks.schema)))
+    with monkeypatch.context() as patch:
+        calls = stop_at(patch, job, "write_result", number)
+        with pytest.raises(Stopped):
+            run_job(more, out, str(scratch), mode="overwrite", run_id=run_id)
+        assert len(calls) == number
+    assert contents(read_results(spark, out)) == old
+    if run_id is None:
+        assert len([n for n in os.listdir(out) if n.startswith("version-")]) == 1
+        assert os.listdir(scratch) == []
+    calls = stop_at(monkeypatch, job, "write_result", 0)
+    new = run_job(more, out, str(scratch), mode="overwrite", run_id=run_id)
+    assert len(calls) == (5 if run_id is None else 6 - number)
+    assert contents(read_results(spark, out)) == contents(new) != old
+    assert rows(new.mutual_links) == [(11, 13), (13, 16), (16, 17)]
+    assert os.listdir(scratch) == []
+
+
+def test_stop_before_the_switch(spark, stored, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    tables = load_tables(spark, stored)
+    with monkeypatch.context() as patch:
+        stop_at(patch, job, "_publish", 1)
+        with pytest.raises(Stopped):
+            run_job(tables, out, run_id="first")
+    with pytest.raises(FileNotFoundError):
+        read_results(spark, out)
+    calls = stop_at(monkeypatch, job, "write_result", 0)
+    run_job(tables, out, run_id="first")
+    assert not calls and rows(read_results(spark, out).mutual_link_count) == [(2,)]
+    with pytest.raises(FileExistsError):
+        run_job(tables, out)
+
+
+def test_old_versions_go(spark, stored, tmp_path):
+    out, tables = str(tmp_path / "out"), load_tables(spark, stored)
+    opened = run_job(tables, out).vertices
+    run_job(tables, out, mode="overwrite")
+    assert rows(opened)
+    run_job(tables, out, mode="overwrite")
+    assert len([n for n in os.listdir(out) if n.startswith("version-")]) == 1 + job.OLD_VERSIONS
+    assert rows(read_results(spark, out).mutual_links) == [(11, 13), (16, 17)]
+
+
+# --- ownership
+
+
+def test_scope_frees_run_folders(spark, pairs, tmp_path):
+    with scope():
+        run = connected_components(pairs, checkpoint_dir=str(tmp_path))
+        with scope():
+            connected_components(pairs, "min_label", str(tmp_path))
+            assert len(os.listdir(tmp_path)) == 2
+        assert len(os.listdir(tmp_path)) == 1 and rows(run.vertices) == WANT
+    assert os.listdir(tmp_path) == []
+    with pytest.raises(ZeroDivisionError):
+        with scope():
+            connected_components(pairs, checkpoint_dir=str(tmp_path))
+            raise ZeroDivisionError
+    assert os.listdir(tmp_path) == []
+    connected_components(pairs, checkpoint_dir=str(tmp_path)).workspace.drop()
+    assert os.listdir(tmp_path) == []
+
+
+def test_named_run_outlives_a_scope(spark, pairs, tmp_path):
+    with pytest.raises(RuntimeError), scope():
+        connected_components(pairs, checkpoint_dir=str(tmp_path), run_id="kept", max_rounds=1)
+    assert os.listdir(tmp_path) == ["run-kept"]
+    assert rows(connected_components(pairs, checkpoint_dir=str(tmp_path), run_id="kept").vertices) == WANT
+
+
+def test_registered_queries_leave_nothing_in_a_scope(spark):
+    import __spark_entry__ as registry
+
+    folder, root = "/root/testdata/sf0.001", spark.conf.get("spark.checkpoint.dir")
+    if not os.path.exists(folder):
+        pytest.skip("needs the test tables")
+    before = set(os.listdir(root))
+    for name in ("q13_one_round", "q16_component_stats", "q20_pairs_sink", "q20_components_sink",
+                 "q22_round_metrics", "q23_jsonl_mutual_links", "q23_graph_views"):
+        with scope():
+            assert registry.queries()[name](spark, folder).count() > 0
+        assert set(os.listdir(root)) <= before, name

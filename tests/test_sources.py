@@ -6,7 +6,7 @@ import pytest
 from conftest import rows, harbour_rows
 from pyspark.errors import AnalysisException
 
-from linkloom import load_tables, mutual_links, run_job, tables_from_catalog
+from linkloom import load_tables, mutual_links, read_results, run_job, tables_from_catalog
 from linkloom.__main__ import main
 from linkloom.schemas import SCHEMAS
 from linkloom.sources.sinks import write_result
@@ -149,12 +149,13 @@ def test_workspace_tables(spark, tmp_path):
 def test_job(spark, stored, tmp_path):
     out, scratch = str(tmp_path / "out"), tmp_path / "scratch"
     result = run_job(load_tables(spark, stored), out, checkpoint_dir=str(scratch))
-    assert rows(spark.read.parquet(f"{out}/mutual_links")) == [(11, 13), (16, 17)]
-    assert rows(spark.read.parquet(f"{out}/vertices")) == [(11, 11), (13, 11), (16, 16), (17, 16)]
-    assert rows(spark.read.parquet(f"{out}/component_stats")) == [(11, 2), (16, 2)]
-    assert rows(spark.read.parquet(f"{out}/mutual_link_count")) == [(2,)]
-    assert rows(result.largest_component_vertices) == [(11, 11), (13, 11)]
-    assert rows(spark.read.parquet(f"{out}/largest_component_vertices")) == [(11, 11), (13, 11)]
+    for found in (result, read_results(spark, out + "/")):
+        assert rows(found.mutual_links) == [(11, 13), (16, 17)]
+        assert rows(found.vertices) == [(11, 11), (13, 11), (16, 16), (17, 16)]
+        assert rows(found.component_stats) == [(11, 2), (16, 2)]
+        assert rows(found.mutual_link_count) == [(2,)]
+        assert rows(found.largest_component_vertices) == [(11, 11), (13, 11)]
+        assert [r.changed for r in found.rounds] == [r.changed for r in result.rounds]
     assert os.listdir(scratch) == []
 
 
@@ -170,6 +171,12 @@ def test_job_that_cannot_end_writes_nothing(spark, stored, tmp_path, monkeypatch
             run_job(tables, str(out))
     with pytest.raises(ValueError, match="magic"):
         run_job(tables, str(out), method="magic")
+    with pytest.raises(ValueError, match="append"):
+        run_job(tables, str(out), mode="append")
+    with pytest.raises(ValueError, match="run id"):
+        run_job(tables, str(out), run_id="../elsewhere")
+    with pytest.raises(FileNotFoundError):
+        read_results(spark, str(out))
     assert not out.exists()
     (out / "component_stats").mkdir(parents=True)
     with pytest.raises(FileExistsError, match="component_stats"):
@@ -182,5 +189,5 @@ def test_command_line(spark, stored, tmp_path, capsys):
     out = str(tmp_path / "out")
     args = [f"--{name}={path}" for name, path in stored.items()]
     main([*args, f"--output={out}", "--method=min_label"])
-    assert rows(spark.read.parquet(f"{out}/vertices")) == [(11, 11), (13, 11), (16, 16), (17, 16)]
+    assert rows(read_results(spark, out).vertices) == [(11, 11), (13, 11), (16, 16), (17, 16)]
     assert "round 0: changed 2" in capsys.readouterr().out
