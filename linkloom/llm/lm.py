@@ -13,13 +13,12 @@ by word hash. The most frequent words, a bounded number, go to all tasks, which
 score them on the spot; the others are looked up in the table of counts by a join.
 """
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.llm.pieces import ChunkTable, load
+from linkloom.llm.runs import LOWERED, text_bytes
 from linkloom.llm.tables import sample_texts
 from linkloom.llm.words import flat_words, hash_words, slices
 from linkloom.sources.workspace import Workspace
@@ -36,23 +35,32 @@ SLOPE_BLOCK = 1_024
 # Words whose counts go to every task: 5 MB.
 FREQUENT = 300_000
 BLOCK_BYTES = 1 << 20
-NUMBERS_PER_PASS = 1 << 17
+# Windows scored at a time, so that their numbers stay in a processor's cache.
+SCORE_WINDOWS = 192
+# Places whose slopes are added up by id together.
+HELD_PLACES = 1 << 17
+# Bytes of packed ids that are taken at a time; a longer text comes alone.
+PACKED_BYTES = 1 << 19
+# Blocks of slopes in a batch.
 ROWS_PER_PASS = 100
 # Word hashes that a task gathers before it counts them: 16 MB.
 HELD_WORDS = 2_000_000
 END = np.uint64(0)
 
 
-def lower(text):
-    """``text`` with A-Z lowered; '' for NULL."""
-    return (text or "").encode().lower().decode()
+def lower(column):
+    """An Arrow column of texts with A-Z lowered; '' for NULL."""
+    data, offsets = text_bytes(column)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(LOWERED[data])]
+    return pa.Array.from_buffers(pa.large_string(), len(column), buffers)
 
 
 def subword_ids(texts, table):
     """Ids of each text, lowered, with begin and end ids, through a table of distinct chunks."""
-    placed = [table.places(lower(t)) for t in texts]
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    places, sizes = table.places(lower(column))
     table.segment()
-    return [table.lay_out(np.array(p, np.int64)).astype(np.int64) for p in placed]
+    return [ids.astype(np.int64) for ids in table.texts_ids(places, sizes)]
 
 
 def id_classes(counts, pieces, classes=CLASSES):
@@ -65,6 +73,12 @@ def id_classes(counts, pieces, classes=CLASSES):
     return kinds, np.log10((counts + 1) / totals[kinds])
 
 
+def add_by_id(table, ids, rows):
+    """Add each row to the row of ``table`` that its id names."""
+    for column in range(table.shape[1]):
+        table[:, column] += np.bincount(ids, rows[:, column], len(table))
+
+
 class Attention:
     """Embeddings, one causal attention head and class weights; trained by Adam."""
 
@@ -84,6 +98,7 @@ class Attention:
             for k, s in shapes.items()
         }
         self.late = np.triu(np.full((window, window), -1e9, np.float32), 1)
+        self.seen = np.tril(np.ones((window, window), np.float32))
 
     def forward(self, ids, first=0):
         """Log chances (windows, places from ``first`` on, classes) of what comes after each place."""
@@ -114,57 +129,61 @@ class Attention:
         own = x.reshape(count, n, WIDTH)[:, first:].reshape(-1, WIDTH)
         q = (own @ (p["query"] * np.float32(WIDTH**-0.5))).reshape(count, n - first, WIDTH)
         weights = q @ kv[:, :, :WIDTH].transpose(0, 2, 1)
-        np.exp(np.clip(weights, -80, 80, out=weights), out=weights)
-        weights *= self.late[first:n, :n] == 0
+        np.exp(np.minimum(weights, 80, out=weights), out=weights)
+        weights *= self.seen[first:n, :n]
         mixed = (weights @ kv[:, :, WIDTH:]).reshape(-1, WIDTH)
         mixed /= (weights.reshape(-1, n) @ np.ones(n, np.float32))[:, None]
         logits = (own + mixed) @ p["out"] + p["bias"]
         found = logits[np.arange(len(logits)), targets.ravel()]
-        np.exp(np.clip(logits, -80, 80, out=logits), out=logits)
+        np.exp(np.minimum(logits, 80, out=logits), out=logits)
         found -= np.log(logits @ np.ones(logits.shape[1], np.float32))
         return found.reshape(count, n - first)
 
-    def slope_sums(self, ids, targets, used):
+    def slope_sums(self, ids, targets, used, room=None):
         """Gradient of the summed log loss over the used places of full windows.
 
-        Of the embeddings only the rows of ids that occur, which are listed as ``at``.
+        Of the embeddings one row per place, as ``places``. ``room`` is a dict that keeps the large arrays
+        between calls: fresh memory for each costs more than the arithmetic.
         """
         p, (count, n) = self.p, ids.shape
         flat, scale = ids.ravel(), np.float32(WIDTH**-0.5)
-        x = np.take(p["ids"], flat, axis=0).reshape(count, n, WIDTH)
-        x += p["spots"][:n]
-        x = x.reshape(-1, WIDTH)
+        used, room = used.ravel().astype(np.float32), {} if room is None else room
+
+        def space(name, *shape):
+            if name not in room or room[name].shape != shape:
+                room[name] = np.empty(shape, np.float32)
+            return room[name]
+
+        x = np.take(p["ids"], flat, axis=0, out=space("x", count * n, WIDTH), mode="clip")
+        x.reshape(count, n, WIDTH)[:] += p["spots"][:n]
         projections = np.hstack([p["query"] * scale, p["key"], p["value"]])
         parts = (slice(0, WIDTH), slice(WIDTH, 2 * WIDTH), slice(2 * WIDTH, 3 * WIDTH))
-        qkv = (x @ projections).reshape(count, n, 3 * WIDTH)
+        qkv = np.matmul(x, projections, out=space("qkv", count * n, 3 * WIDTH)).reshape(count, n, 3 * WIDTH)
         q, k, v = (qkv[:, :, part] for part in parts)
-        weights = q @ k.transpose(0, 2, 1)
-        np.exp(np.clip(weights, -80, 80, out=weights), out=weights)
-        weights *= self.late[:n, :n] == 0
+        weights = np.matmul(q, k.transpose(0, 2, 1), out=space("weights", count, n, n))
+        np.exp(np.minimum(weights, 80, out=weights), out=weights)
+        weights *= self.seen[:n, :n]
         weights /= (weights.reshape(-1, n) @ np.ones(n, np.float32)).reshape(count, n, 1)
-        hidden = x + (weights @ v).reshape(-1, WIDTH)
-        slopes = hidden @ p["out"]
+        hidden = np.matmul(weights, v, out=space("hidden", count, n, WIDTH)).reshape(-1, WIDTH)
+        hidden += x
+        slopes = np.matmul(hidden, p["out"], out=space("slopes", count * n, p["out"].shape[1]))
         slopes += p["bias"]
-        np.exp(np.clip(slopes, -80, 80, out=slopes), out=slopes)
-        slopes /= (slopes @ np.ones(slopes.shape[1], np.float32))[:, None]
-        slopes[np.arange(len(slopes)), targets.ravel()] -= 1
-        slopes *= used.reshape(-1, 1)
-        d_hidden = (slopes @ p["out"].T).reshape(count, n, WIDTH)
-        d_scores = d_hidden @ v.transpose(0, 2, 1)
+        np.exp(np.minimum(slopes, 80, out=slopes), out=slopes)
+        slopes *= (used / (slopes @ np.ones(slopes.shape[1], np.float32)))[:, None]
+        slopes[np.arange(len(slopes)), targets.ravel()] -= used
+        d_hidden = np.matmul(slopes, p["out"].T, out=space("d_hidden", count * n, WIDTH)).reshape(count, n, WIDTH)
+        d_scores = np.matmul(d_hidden, v.transpose(0, 2, 1), out=space("d_scores", count, n, n))
         d_scores -= np.einsum("ijk,ijk->ij", d_scores, weights)[:, :, None]
         d_scores *= weights
-        d_qkv = np.empty_like(qkv)
+        d_qkv = space("d_qkv", count, n, 3 * WIDTH)
         np.matmul(d_scores, k, out=d_qkv[:, :, parts[0]])
         np.matmul(d_scores.transpose(0, 2, 1), q, out=d_qkv[:, :, parts[1]])
         np.matmul(weights.transpose(0, 2, 1), d_hidden, out=d_qkv[:, :, parts[2]])
         d_qkv = d_qkv.reshape(-1, 3 * WIDTH)
         d_x = d_hidden.reshape(-1, WIDTH) + d_qkv @ projections.T
         d_projections = x.T @ d_qkv
-        order = np.argsort(flat.astype(np.uint16), kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         return {
-            "at": flat[order][first],
-            "ids": np.add.reduceat(d_x[order], first, axis=0),
+            "places": d_x,
             "spots": d_x.reshape(count, n, WIDTH).sum(axis=0),
             "query": d_projections[:, parts[0]] * scale,
             "key": d_projections[:, parts[1]],
@@ -177,7 +196,7 @@ class Attention:
         """Gradient of the mean log loss over the used places of full windows."""
         sums = self.slope_sums(ids, targets, used)
         d_ids = np.zeros_like(self.p["ids"])
-        d_ids[sums.pop("at")] = sums["ids"]
+        add_by_id(d_ids, ids.ravel(), sums.pop("places"))
         return {k: s / used.sum() for k, s in (sums | {"ids": d_ids}).items()}
 
     def text_slopes(self, texts, kinds, sums):
@@ -189,14 +208,22 @@ class Attention:
         owner = np.repeat(np.arange(len(sizes)), number)
         starts = begin[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)) * WINDOW
         ends = (begin + sizes)[owner]
+        room, seen, places, held = {}, [], [], 0
         for i in range(0, len(starts), TRAIN_WINDOWS):
             at = starts[i : i + TRAIN_WINDOWS, None] + np.arange(WINDOW)
             used = (at + 1 < ends[i : i + TRAIN_WINDOWS, None]).astype(np.float32)
-            found = self.slope_sums(line[at], kinds[line[at + 1]], used)
-            sums["ids"][found.pop("at")] += found.pop("ids")
+            found = self.slope_sums(line[at], kinds[line[at + 1]], used, room)
+            seen.append(line[at].ravel())
+            places.append(found.pop("places"))
+            held += at.size
+            if held >= HELD_PLACES:
+                add_by_id(sums["ids"], np.concatenate(seen), np.concatenate(places))
+                seen, places, held = [], [], 0
             for name, slope in found.items():
                 sums[name] += slope
             sums["used"] += used.sum()
+        if held:
+            add_by_id(sums["ids"], np.concatenate(seen), np.concatenate(places))
 
     def train(self, texts, kinds, rounds=TRAIN_ROUNDS, seed=11):
         """Fit on id lists: windows drawn from random places, all of them full or padded by the end id."""
@@ -233,7 +260,7 @@ class Scorer:
 
     def _windows(self, line, starts, first, sums, owners, ends):
         """Add up what windows at ``starts`` of ``line`` score from their place ``first`` on."""
-        per_pass = max(1, NUMBERS_PER_PASS // WINDOW // 4)
+        per_pass = SCORE_WINDOWS
         for i in range(0, len(starts), per_pass):
             at = starts[i : i + per_pass, None] + np.arange(WINDOW)
             own, stop = owners[i : i + per_pass], ends[i : i + per_pass]
@@ -305,14 +332,18 @@ def _frequent_from(counts: DataFrame, most: int) -> int:
 
 
 def pack_ids(ids):
-    """Ids of two bytes as deflated bytes, bytes of equal weight together."""
-    planes = np.asarray(ids).astype("<u2").view(np.uint8).reshape(-1, 2).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    """Ids as two bytes each."""
+    return np.asarray(ids).astype("<u2").tobytes()
 
 
 def unpack_ids(data):
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(2, -1)
-    return np.ascontiguousarray(planes.T).view("<u2").ravel().astype(np.int64)
+    return np.frombuffer(data, "<u2").astype(np.int64)
+
+
+def _round(rounds: int) -> Column:
+    """The round in which a text is learnt from; -1 for texts not to learn from."""
+    own = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(rounds)).cast("int")
+    return F.when(F.col("learn"), own).otherwise(F.lit(-1))
 
 
 def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
@@ -322,13 +353,13 @@ def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
         table = ChunkTable(load(model_file), decode=False)
         for part in slices(batches, limit=BLOCK_BYTES):
             table = table.renewed()
-            packed = [pack_ids(ids) for ids in subword_ids(part.column("text").to_pylist(), table)]
+            packed = [pack_ids(ids) for ids in subword_ids(part.column("text"), table)]
             columns = [part.column(c) for c in ("doc_id", "tag", "learn")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(packed, pa.binary())], ["doc_id", "tag", "learn", "ids"]
             )
 
-    return own.mapInArrow(run, f"doc_id {id_type}, tag int, learn boolean, ids binary")
+    return own.mapInArrow(run, f"doc_id {id_type}, tag bigint, learn boolean, ids binary")
 
 
 def _slopes_of_all(subwords: DataFrame, model: Attention, kinds) -> dict:
@@ -355,10 +386,8 @@ def _slopes_of_all(subwords: DataFrame, model: Attention, kinds) -> dict:
     def run(batches):
         model, kinds = shared.value
         whole, sums = zeros()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_PASS):
-                packed = batch.column("ids").slice(at, ROWS_PER_PASS).to_pylist()
-                model.text_slopes([unpack_ids(p) for p in packed], kinds, sums)
+        for part in slices(batches, "ids", PACKED_BYTES):
+            model.text_slopes([unpack_ids(p) for p in part.column("ids").to_pylist()], kinds, sums)
         if sums["used"][0]:
             cut = [whole[i : i + SLOPE_BLOCK] for i in range(0, len(whole), SLOPE_BLOCK)]
             yield from rows([(i, c) for i, c in enumerate(cut) if c.any()])
@@ -384,10 +413,12 @@ def learn_from_all(model: Attention, subwords: DataFrame, kinds, rounds: int = A
     """Steps of Adam from round to round, each over the whole texts that belong to it; the ids learnt from."""
     first = {k: np.zeros(v.shape) for k, v in model.p.items()}
     second = {k: np.zeros(v.shape) for k, v in model.p.items()}
-    own_round = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(rounds))
+    # Stored by round, the texts of the other rounds are not read.
+    if "round" not in subwords.columns:
+        subwords = subwords.withColumn("round", _round(rounds))
     total, t = 0, 0
     for number in range(rounds):
-        sums = _slopes_of_all(subwords.where(F.col("learn") & (own_round == number)), model, kinds)
+        sums = _slopes_of_all(subwords.where(F.col("round") == number), model, kinds)
         used = sums.pop("used")[0]
         if not used:
             continue
@@ -457,11 +488,12 @@ def score_texts(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(learn, F.lit(False)).alias("learn"),
-    ).withColumn("tag", F.hash("text"))
+    ).withColumn("tag", F.xxhash64("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
     if load(model_file).get_piece_size() > 1 << 16:
         raise ValueError("ids are stored in two bytes")
-    subwords, _ = work.store(_subwords(own, model_file, id_type), "subwords")
+    packed = _subwords(own, model_file, id_type).withColumn("round", _round(ALL_ROUNDS))
+    subwords, _ = work.store(packed, "subwords", partition_by="round")
     counts, seen = work.store(
         _word_counts(own.where("learn")), "words", tokens=F.coalesce(F.sum("n"), F.lit(0)), kinds=F.count("*")
     )
@@ -488,14 +520,12 @@ def score_texts(
         return np.where(found, numbers[at], 0)[places], found[places]
 
     def by_model(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_PER_PASS):
-                part = batch.slice(at, ROWS_PER_PASS)
-                ids = [unpack_ids(packed) for packed in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("tag"), pa.array(scorer.value.score(ids))],
-                    ["doc_id", "tag", "score"],
-                )
+        for part in slices(batches, "ids", PACKED_BYTES):
+            ids = [unpack_ids(packed) for packed in part.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("tag"), pa.array(scorer.value.score(ids))],
+                ["doc_id", "tag", "score"],
+            )
 
     def by_words(batches):
         """Sums over the frequent words of each text, and a row for each other word."""
@@ -522,12 +552,12 @@ def score_texts(
             )
 
     scored, _ = work.store(
-        subwords.mapInArrow(by_model, f"doc_id {id_type}, tag int, score double"), "scored"
+        subwords.mapInArrow(by_model, f"doc_id {id_type}, tag bigint, score double"), "scored"
     )
     work.drop("subwords")
     parts = own.mapInArrow(
         by_words,
-        f"doc_id {id_type}, tag int, word bigint, n_tokens bigint, n_known bigint, base double",
+        f"doc_id {id_type}, tag bigint, word bigint, n_tokens bigint, n_known bigint, base double",
     )
     n = F.coalesce("n", F.lit(0))
     spread = F.coalesce("word", F.xxhash64("doc_id", "tag"))

@@ -18,9 +18,11 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from linkloom.llm.runs import text_bytes
 from linkloom.llm.words import slices
 
 MARK = "▁"
@@ -32,7 +34,10 @@ MOST_CHUNKS = 200_000
 # Chunks that the library is given at a time, as lines of one text.
 LINES = 64
 
-CHUNK = re.compile(f" *[^ {LINE_FEED}]+| +|{LINE_FEED}+")
+# Kinds of bytes: spaces, line feeds and all others.
+OTHER, SPACE, FEED = range(3)
+KIND = np.zeros(256, np.uint8)
+KIND[ord(" ")], KIND[ord(LINE_FEED)] = SPACE, FEED
 
 
 def load(model_file: str) -> sentencepiece.SentencePieceProcessor:
@@ -56,12 +61,31 @@ def load(model_file: str) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
 
 
-def chunks(text: str) -> list[str]:
-    """Chunks of a text; joined they are the text behind the space that its marker stands for.
+def cut_chunks(column):
+    """(chunks, counts): the chunks of all texts of an Arrow column in a row, and how many each text has.
 
-    A marker in the text is a space to the model, and is one here: most chunks are ASCII then.
+    Joined they are the text behind the space that its marker stands for. A chunk is a run of spaces with the
+    run of other characters behind it, either alone, or a run of line feeds. A marker in the text is a space to the
+    model, and is one here: most chunks are ASCII then. NULL is the empty text, which has none.
     """
-    return CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
+    text = pc.replace_substring(pc.fill_null(column, ""), MARK, " ")
+    empty, space = pa.scalar("", text.type), pa.scalar(" ", text.type)
+    text = pc.if_else(pc.equal(text, empty), empty, pc.binary_join_element_wise(empty, text, space))
+    data, offsets = text_bytes(text)
+    kind = KIND[data]
+    starts = np.zeros(len(data) + 1, bool)
+    starts[1:-1] = (kind[1:] != kind[:-1]) & ~((kind[:-1] == SPACE) & (kind[1:] == OTHER))
+    starts[offsets] = True
+    at = np.flatnonzero(starts)
+    found = pa.Array.from_buffers(
+        pa.large_string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)]
+    )
+    return found, np.diff(np.searchsorted(at, offsets))
+
+
+def chunks(text: str) -> list[str]:
+    """Chunks of one text."""
+    return cut_chunks(pa.array([text], pa.string()))[0].to_pylist()
 
 
 class Numbers(dict):
@@ -89,9 +113,24 @@ class ChunkTable:
         # which no piece joins to it.
         *self.opening, self.feed = model.encode(LINE_FEED)
 
-    def places(self, text):
-        """Numbers of a text's chunks, with begin and end."""
-        return [0, *map(self.numbers.__getitem__, chunks(text)), 1]
+    def places(self, column):
+        """(numbers, sizes): the numbers of all texts' chunks in a row, with begin and end, and how many each text has.
+
+        Each distinct chunk of the column is looked up once.
+        """
+        found, counts = cut_chunks(column)
+        coded = found.dictionary_encode()
+        number = np.fromiter(
+            map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary)
+        )
+        sizes = counts + 2
+        ends = np.cumsum(sizes)
+        places = np.empty(sizes.sum(), np.int64)
+        inner = np.ones(len(places), bool)
+        inner[ends - sizes] = inner[ends - 1] = False
+        places[ends - sizes], places[ends - 1] = 0, 1
+        places[inner] = number[coded.indices.to_numpy()]
+        return places, sizes
 
     def segment(self):
         """Bring ``ids``, ``first`` and ``size`` (where each chunk's pieces are) and ``decoded`` up to date."""
@@ -121,6 +160,13 @@ class ChunkTable:
         starts = np.cumsum(sizes) - sizes
         return self.ids[np.repeat(self.first[places] - starts, sizes) + np.arange(sizes.sum())]
 
+    def texts_ids(self, places, sizes):
+        """The ids of each text, from what ``places`` gives; ``segment`` comes before."""
+        if not len(sizes):
+            return []
+        n = np.add.reduceat(self.size[places], np.cumsum(sizes) - sizes)
+        return np.split(self.lay_out(places), np.cumsum(n)[:-1])
+
     def renewed(self):
         """This table, or an empty one if this has grown to its bound."""
         if len(self.numbers) < MOST_CHUNKS:
@@ -129,13 +175,15 @@ class ChunkTable:
 
 
 def encode_block(texts, table):
-    """(ids, decoded text) of each text, through a table of distinct chunks."""
-    placed = [table.places(t) for t in texts]
+    """(ids, decoded text) of each text of an Arrow column or list, through a table of distinct chunks."""
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    places, sizes = table.places(column)
     table.segment()
-    decoded = table.decoded
-    for places in placed:
-        joined = "".join([decoded[p] for p in places])
-        yield table.lay_out(np.array(places, np.int64)), joined.removeprefix(" ")
+    decoded, at = table.decoded, 0
+    for ids, size in zip(table.texts_ids(places, sizes), sizes.tolist()):
+        joined = "".join([decoded[p] for p in places[at : at + size].tolist()])
+        at += size
+        yield ids, joined.removeprefix(" ")
 
 
 def encode_and_decode(
@@ -169,7 +217,7 @@ def encode_and_decode(
         for part in slices(batches, limit=block_bytes):
             table = table.renewed()
             counts, id_marks, text_marks, ids_kept, texts_kept = [], [], [], [], []
-            for ids, decoded in encode_block(part.column("text").to_pylist(), table):
+            for ids, decoded in encode_block(part.column("text"), table):
                 counts.append(len(ids))
                 id_marks.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 text_marks.append(hashlib.sha256(decoded.encode()).hexdigest())

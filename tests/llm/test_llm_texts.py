@@ -2,14 +2,16 @@
 
 import hashlib
 import itertools
-import random
 import math
+import random
+import re
 import zlib
 from collections import Counter
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from odd_rows import FOLDER, TEXTS, documents, edges, engine, nothing, union_find  # noqa: F401
@@ -236,6 +238,17 @@ def test_chunks_cover_the_text():
         assert "".join(pieces.chunks(text)) == " " + text.replace("▁", " ")
 
 
+def test_chunks_end_where_no_piece_can_cross():
+    pick = random.Random(8)
+    parts = ["a", " ", "\n", "é", "▁", "bc", "  ", "😀"]
+    for _ in range(200):
+        texts = ["".join(pick.choices(parts, k=pick.randint(0, 12))) for _ in range(pick.randint(0, 6))]
+        texts += [None] * pick.randint(0, 2)
+        found, counts = pieces.cut_chunks(pa.array(texts, pa.string()))
+        want = [re.findall(" *[^ \n]+| +|\n+", " " + t.replace("▁", " ")) if t else [] for t in texts]
+        assert found.to_pylist() == list(itertools.chain(*want)) and counts.tolist() == list(map(len, want))
+
+
 # --- decontamination
 
 ITEMS = [
