@@ -123,7 +123,8 @@ def find_windows(
     """(doc_id, found): where windows of the items may occur in documents, by the index.
 
     ``found`` lists, per passage, its words, item ids and (start, at) pairs: the
-    window's start in the passage and in the document. ``docs`` has doc_id, text.
+    window's start in the passage and in the document. ``docs`` has doc_id, text; rows with the same
+    doc_id share one list, so it should tell rows with different texts apart.
     """
     work = Workspace(docs.sparkSession)
     passages, size = _passages(items, work)
@@ -183,10 +184,13 @@ def decontaminate(
         F.col(text_col).alias("text"),
         *(F.col(c).alias(e) for c, e in zip(carry, extra)),
     )
-    texts = own.select("doc_id", "text")
+    # Lists are kept by id and text: rows without id, or that share one, do not meet in one list. Equal rows
+    # share a list, and rows whose keys collide share places that the comparison below tells apart.
+    row_key = F.xxhash64("doc_id", "text")
+    texts = own.select(row_key.alias("doc_id"), "text")
     found = find_windows(texts, items.select("item_id", "text"), window, rarest)
     rows = own.join(
-        found.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left"
+        found.withColumnRenamed("doc_id", "__row"), row_key == F.col("__row"), "left"
     ).select("doc_id", terms(F.col("text")).alias("words"), "found", *extra)
 
     def same(passage, spot):
