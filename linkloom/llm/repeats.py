@@ -161,7 +161,7 @@ def _stretches(docs, id_type, length, anchor, wanted, unwanted=None) -> DataFram
                 ["seed", "doc_id", "tag", "pos", "size"],
             )
 
-    return docs.mapInArrow(run, f"seed bigint, doc_id {id_type}, tag int, pos int, size int")
+    return docs.mapInArrow(run, f"seed bigint, doc_id {id_type}, tag bigint, pos int, size int")
 
 
 def _windows(docs, id_type, length, anchor, wanted) -> DataFrame:
@@ -186,14 +186,14 @@ def _windows(docs, id_type, length, anchor, wanted) -> DataFrame:
                 ["window", "doc_id", "tag", "pos"],
             )
 
-    return docs.mapInArrow(run, f"window bigint, doc_id {id_type}, tag int, pos int")
+    return docs.mapInArrow(run, f"window bigint, doc_id {id_type}, tag bigint, pos int")
 
 
 def repeated_stretches(
     docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
 ) -> DataFrame:
-    """(doc_id, tag, pos, size): ``size`` consecutive windows, from word ``pos`` on, that a
-    document with a smaller id has too. ``docs`` has doc_id, text and tag (hash of the text).
+    """(tag, pos, size): ``size`` consecutive windows, from word ``pos`` on, that a
+    document with a smaller id has too. ``docs`` has doc_id, text and tag (a hash of both).
     """
     spark = docs.sparkSession
     work = Workspace(spark)
@@ -221,7 +221,7 @@ def repeated_stretches(
     first = shared.where("same").select(F.col("seed").alias("__seed"), "least")
     extended = alike.join(
         first, (F.col("seed") == F.col("__seed")) & (F.col("least") < F.col("doc_id"))
-    ).select("doc_id", "tag", "pos", "size")
+    ).select("tag", "pos", "size")
 
     windows = _windows(known, id_type, length, anchor, mixed_bits)
     least, _ = work.store(
@@ -233,16 +233,40 @@ def repeated_stretches(
     )
     single = windows.join(
         least, (F.col("window") == F.col("__window")) & (F.col("least") < F.col("doc_id"))
-    ).select("doc_id", "tag", "pos", F.lit(1).alias("size"))
+    ).select("tag", "pos", F.lit(1).alias("size"))
     return extended.unionByName(single)
 
 
-def covered_words(n, spans, length):
-    """Which of ``n`` words lie in a window; ``spans`` lists (pos, size)."""
+def start_blocks(stretches: DataFrame) -> DataFrame:
+    """(tag, blocks): the window starts of each row as bits, 64 positions to a block.
+
+    However often a stretch comes, from equal rows or overlapping seeds, it sets its bits once.
+    """
+    block = F.explode(F.expr("sequence(pos div 64, (pos + size - 1) div 64)")).alias("block")
+    first, end = "greatest(pos - 64 * block, 0)", "least(pos + size - 64 * block, 64)"
+    bits = F.expr(
+        f"shiftleft(-1L, cast({first} as int)) & shiftrightunsigned(-1L, cast(64 - {end} as int))"
+    )
+    return (
+        stretches.select("tag", "pos", "size", block)
+        .groupBy("tag", "block")
+        .agg(F.bit_or(bits).alias("bits"))
+        .groupBy("tag")
+        .agg(F.collect_list(F.struct("block", "bits")).alias("blocks"))
+    )
+
+
+def covered_words(n, blocks, length):
+    """Which of ``n`` words lie in a window; ``blocks`` has the (block, bits) of the windows' starts."""
+    bits = np.zeros(n // 64 + 1, np.uint64)
+    for block in blocks:
+        # Rows whose tags collide may name places that this text does not have.
+        if block["block"] < len(bits):
+            bits[block["block"]] = block["bits"] % 2**64
+    starts = np.flatnonzero(np.unpackbits(bits.view(np.uint8), bitorder="little")[: max(0, n - length + 1)])
     edges = np.zeros(n + 1, np.int64)
-    for span in spans:
-        edges[span["pos"]] += 1
-        edges[span["pos"] + span["size"] + length - 1] -= 1
+    edges[starts] += 1
+    edges[starts + length] -= 1
     return np.cumsum(edges[:n]) > 0
 
 
@@ -278,24 +302,21 @@ def remove_repeats(
     own = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(text_col).alias("text"),
-        F.hash(text_col).alias("tag"),
+        F.xxhash64(id_col, text_col).alias("tag"),
         *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)),
     )
     id_type = own.schema["doc_id"].dataType.simpleString()
-    spans = (
-        repeated_stretches(own, length, anchor)
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag"))
-        .agg(F.collect_list(F.struct("pos", "size")).alias("spans"))
-    )
-    matched = (F.col("doc_id") == F.col("__doc")) & (F.col("tag") == F.col("__tag"))
+    found = start_blocks(repeated_stretches(own, length, anchor)).withColumnRenamed("tag", "__tag")
     extra = [c for c in own.columns if c.startswith("carry_")]
-    rows = own.join(spans, matched, "left").select("doc_id", "text", "spans", *extra)
+    rows = own.join(found, F.col("tag") == F.col("__tag"), "left").select(
+        "doc_id", "text", "blocks", *extra
+    )
     extra_types = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in extra)
 
     def run(batches):
         for part in slices(batches):
             out = []
-            for text, found in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+            for text, found in zip(part.column("text").to_pylist(), part.column("blocks").to_pylist()):
                 ws = words(text)
                 if not found:
                     out.append((len(ws), 0, b" ".join(ws).decode(), text))

@@ -59,6 +59,44 @@ def test_repeats_of_any_length(spark, length, anchor):
     assert sorted((r["doc_id"], r["n_removed"], r["kept"]) for r in got) == sorted(want)
 
 
+def test_window_starts_as_bits(spark):
+    """Stretches that overlap, come again, or cross the borders of blocks."""
+    pick = random.Random(4)
+    for length in (1, 3, 13):
+        sizes = [200, 64, 63, 65, 128, 1]
+        rows = []
+        for tag, n in enumerate(sizes):
+            for _ in range(6):
+                pos = pick.randrange(max(1, n - length + 1))
+                if n >= length:
+                    rows.append((tag, pos, pick.randint(1, n - length + 1 - pos)))
+        rows += rows[:5] * 3
+        found = repeats.start_blocks(spark.createDataFrame(rows, "tag long, pos int, size int")).collect()
+        for r in found:
+            n = sizes[r["tag"]]
+            want = {i for tag, pos, size in rows if tag == r["tag"] for i in range(pos, pos + size + length - 1)}
+            covered = repeats.covered_words(n, r["blocks"], length)
+            assert set(np.flatnonzero(covered).tolist()) == want
+            assert len(r["blocks"]) <= n // 64 + 1
+
+
+def test_repeats_of_many_equal_rows(spark):
+    """Copies under one id share one list of bits, and texts under one id are told apart by 64 bits."""
+    shared = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, f"start {shared} end")] + [(7, f"copy {shared} of it")] * 1000
+    docs += [(7, f"number {i} {shared if i % 2 else 'without'} x{i}") for i in range(200)] + [(None, shared)] * 50
+    got = repeats.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = [(i, n, r, " ".join(k)) for (i, _), (n, r, k) in zip(docs, brute.kept_words(docs))]
+    found = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got]
+    assert sorted(found, key=key) == sorted(want, key=key)
+    blocks = repeats.start_blocks(
+        repeats.repeated_stretches(
+            spark.createDataFrame(docs, "doc_id long, text string").withColumn("tag", F.xxhash64("doc_id", "text"))
+        )
+    )
+    assert blocks.count() == 101 and blocks.agg(F.max(F.size("blocks"))).first()[0] == 1
+
+
 def test_full_filter_changes_nothing(spark, documents, monkeypatch):
     """A filter that lets most seeds pass costs rows, not results."""
     frame = spark.createDataFrame(documents, "doc_id long, text string")
@@ -276,6 +314,23 @@ def test_decontamination_on_odd_rows(spark, edges, rarest):
     assert any(w[3] == ["1", "6"] for w in want) and any(w[2] and not w[3] for w in want)
 
 
+def test_decontamination_of_rows_without_own_id(spark):
+    """Hundreds of rows without id and under one id, each with a passage at another place."""
+    passage = " ".join(f"bench{i}" for i in range(60))
+    docs = [(i, "pad " * k + passage) for k in range(150) for i in (None, 5)] + [(None, "clean text")] * 50
+    docs += [(5, f"x {passage}")] * 100
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(1, passage), (2, "one two three")]
+    got = decontam.decontaminate(frame, spark.createDataFrame(items, "item_id int, text string")).collect()
+    want = [(i, *h, bool(h[1])) for (i, _), h in zip(docs, brute.hits(docs, items))]
+    found = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got]
+    assert sorted(found, key=key) == sorted(want, key=key)
+    texts = frame.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    lists = decontam.find_windows(texts, spark.createDataFrame(items, "item_id int, text string"))
+    spots = lists.select(F.size(F.element_at("found", 1)["spots"]).alias("n"), F.size("found").alias("p"))
+    assert spots.agg(F.max("n"), F.max("p"), F.count("*")).first() == (51, 1, 301)
+
+
 def test_decontamination_without_items_or_documents(spark, edges, nothing):
     items = spark.createDataFrame(ITEMS, "item_id int, text string")
     assert decontam.decontaminate(nothing, items).collect() == []
