@@ -4,6 +4,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkloom.functions.columns import pair_array, pair_high, pair_low
 
+# A target with more than one such part of all links is hot, and gets a salt for each part.
+SHARES = 200
+# Targets that the sketch of link counts keeps track of: its size, and a bound of its error.
+TRACKED = 10_000
+
 
 def raw_links(resolved: DataFrame, pagelinks: DataFrame) -> DataFrame:
     """One (page_a, page_b) row per link row whose target is in ``resolved``.
@@ -16,6 +21,42 @@ def raw_links(resolved: DataFrame, pagelinks: DataFrame) -> DataFrame:
     )
 
 
+def hot_targets(pagelinks: DataFrame) -> DataFrame:
+    """(hot_target, salts) of targets with more than a ``1 / SHARES`` share of all links, from one pass.
+
+    A sketch of fixed size finds the ``TRACKED`` heaviest targets; at most ``SHARES`` of them can have
+    so many links, so the result is small whatever the data. It is one row of counts until it is unpacked,
+    and lazy. A target's estimate may exceed its count a little, which costs a salt and changes no result.
+    """
+    sketch = pagelinks.agg(
+        F.expr(f"approx_top_k(pl_target_id, {SHARES}, {TRACKED})").alias("top"),
+        F.count("pl_target_id").alias("n"),
+    )
+    heavy = sketch.select(F.inline("top"), "n").toDF("hot_target", "links", "n")
+    return heavy.where(F.col("links") * SHARES > F.col("n")).select(
+        "hot_target", F.ceil(F.col("links") * SHARES / F.col("n")).cast("int").alias("salts")
+    )
+
+
+def raw_links_salted(resolved: DataFrame, pagelinks: DataFrame) -> DataFrame:
+    """The rows of ``raw_links``, with the links of hot targets spread by salts.
+
+    A hot target's links get as many salts as it has shares, by the page they come from, and its resolved rows a copy for
+    each. All other rows have one salt. The plan does not need adaptive execution to keep tasks alike.
+    """
+    hot = F.broadcast(hot_targets(pagelinks))
+    salts = F.coalesce("salts", F.lit(1))
+    salt = F.pmod(F.xxhash64("pl_from"), salts).cast("int")
+    spread = pagelinks.join(hot, F.col("pl_target_id") == F.col("hot_target"), "left").select(
+        "pl_from", "pl_target_id", salt.alias("salt")
+    )
+    copies = resolved.join(hot, F.col("lt_id") == F.col("hot_target"), "left").select(
+        "lt_id", "page_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("copy")
+    )
+    met = (F.col("pl_target_id") == F.col("lt_id")) & (F.col("salt") == F.col("copy"))
+    return spread.join(copies, met).select(F.col("pl_from").alias("page_a"), F.col("page_id").alias("page_b"))
+
+
 def page_links(resolved: DataFrame, pagelinks: DataFrame) -> DataFrame:
     """Distinct page-to-page links. ``page_b`` is NULL for unresolved targets."""
     return raw_links(resolved, pagelinks).distinct()

@@ -6,15 +6,24 @@ from linkloom.operators import graph, links, redirects, selflinks
 from linkloom.sources.tables import LinkTables
 
 
-def mutual_links(tables: LinkTables) -> DataFrame:
+JOINS = {"adaptive": links.raw_links, "salted": links.raw_links_salted}
+
+
+def mutual_links(tables: LinkTables, hot_targets: str = "adaptive") -> DataFrame:
     """(page_a, page_b) with page_a < page_b for pages that link to each other.
 
     Only pages of the main namespace are link targets; a target leads one
     redirect hop on. One lazy plan: the link table is shuffled twice, once to
     find its targets' pages and once to bring both directions together.
+
+    ``hot_targets`` says what keeps a target with very many links from one task: ``adaptive`` execution,
+    which also leaves a link table that is bucketed by target in its buckets, or salts for the targets
+    that one more pass over the link table finds (``salted``), which works without adaptive execution.
     """
+    if hot_targets not in JOINS:
+        raise ValueError(f"unknown way {hot_targets!r}; use one of {sorted(JOINS)}")
     resolved = redirects.resolve_targets(tables.page, tables.redirect, tables.linktarget)
-    return links.mutual_from_links(links.raw_links(resolved, tables.pagelinks))
+    return links.mutual_from_links(JOINS[hot_targets](resolved, tables.pagelinks))
 
 
 def mutual_link_steps(tables: LinkTables, register: bool = False) -> dict[str, DataFrame]:

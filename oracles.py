@@ -117,6 +117,7 @@ one_round AS (
         "q09_mutual_links": _with("SELECT * FROM mutual", "mutual"),
         "q09_mutual_links_by_steps": _with("SELECT * FROM mutual", "mutual"),
         "q09_mutual_links_by_arrays": _with("SELECT * FROM mutual", "mutual"),
+        "q09_mutual_links_salted": _with("SELECT * FROM mutual", "mutual"),
         "q10_mutual_count": _with("SELECT count(*) AS n FROM mutual", "mutual"),
         "q11_edges": _with(both_ways, "mutual"),
         "q11_graph_counts": _with(
@@ -169,6 +170,12 @@ one_round AS (
             "SELECT src, dst, component FROM edges JOIN labels ON src = vertex"
         ),
         "q23_step_views": _with("SELECT * FROM mutual", "mutual"),
+        "q24_jsonl_quarantine": _with(
+            "SELECT CASE WHEN page_namespace <> 0 THEN 'not a JSON object' "
+            "WHEN page_is_redirect THEN 'page_id is no bigint' ELSE 'good' END AS outcome, "
+            "count(*) AS n FROM page GROUP BY 1",
+            "page",
+        ),
         "q23_views_by_name": _with("SELECT * FROM mutual", "mutual"),
         "v1_step_views": _with(
             "SELECT p.lt_id, p.lt_page_id, r.rd_title FROM v1_page p "

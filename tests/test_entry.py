@@ -1,6 +1,8 @@
 """Every registered query against the same result from a second engine."""
 
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -37,6 +39,25 @@ def test_query(spark, engine, name):
     assert want
 
 
+@pytest.mark.parametrize(
+    "missing", ["tokenizers", "sentencepiece", "xxhash", "public_tokenizers", "linkloom.llm", "corpus_pipeline"]
+)
+def test_graph_queries_load_without_optional_packages(missing):
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as entry; "
+        "assert set(entry.queries()) == set(entry.link_queries()) == set(entry.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(registry.__file__).parent)
+
+
+def test_missing_part_of_the_library_is_an_error():
+    code = "import sys; sys.modules['linkloom.operators.stars'] = None; import __spark_entry__"
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=Path(registry.__file__).parent, capture_output=True, text=True
+    )
+    assert done.returncode and "linkloom.operators.stars" in done.stderr
+
+
 def test_entry(spark):
     assert registry.entry(spark).columns == ["vertex", "component"]
 

@@ -136,6 +136,37 @@ def test_hot_link_target_is_split(spark, skew_shows):
     assert found.count() == 60_000
 
 
+def test_salts_spread_hot_targets_without_adaptive_execution(spark, conf, tmp_path):
+    """A third of all links go to one target, a tenth to another; no task gets over twice the median."""
+    conf(
+        adaptive__enabled="false", autoBroadcastJoinThreshold="-1", shuffle__partitions="16"
+    )
+    target = "if(id % 3 = 0, 0, if(id % 10 = 1, 1, id))"
+    spark.range(90_000).selectExpr("id as pl_from", f"{target} as pl_target_id").write.parquet(str(tmp_path / "l"))
+    pagelinks = spark.read.parquet(str(tmp_path / "l"))
+    resolved = spark.range(90_000).selectExpr("id as lt_id", "id + 7 as page_id")
+    resolved = resolved.unionByName(spark.sql("SELECT 0L AS lt_id, 5L AS page_id"))
+    heavy = {r["hot_target"]: r["salts"] for r in links.hot_targets(pagelinks).collect()}
+    assert set(heavy) == {0, 1} and 60 <= heavy[0] <= 75 and 10 <= heavy[1] <= 20
+    found = links.raw_links_salted(resolved, pagelinks)
+    sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+    plain = links.raw_links(resolved, pagelinks)
+    before = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(before) > 4 * sorted(before)[len(before) // 2]
+    assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0
+
+
+def test_salts_on_small_and_empty_tables(spark, harbour):
+    assert rows(mutual_links(harbour, hot_targets="salted")) == [(11, 13), (16, 17)]
+    empty = harbour._replace(pagelinks=harbour.pagelinks.limit(0))
+    assert rows(mutual_links(empty, hot_targets="salted")) == []
+    unknown = harbour._replace(pagelinks=harbour.pagelinks.selectExpr("pl_from", "pl_from_namespace", "cast(null as bigint) pl_target_id"))
+    assert rows(mutual_links(unknown, hot_targets="salted")) == []
+    with pytest.raises(ValueError, match="unknown way"):
+        mutual_links(harbour, hot_targets="hope")
+
+
 @pytest.mark.parametrize("short", [True, False])
 def test_hot_redirect_title_is_split(spark, skew_shows, conf, tmp_path, short):
     """A third of all pages redirect to one title.

@@ -10,7 +10,7 @@ from linkloom import load_tables, mutual_links, read_results, run_job, tables_fr
 from linkloom.__main__ import main
 from linkloom.schemas import SCHEMAS
 from linkloom.sources.sinks import write_result
-from linkloom.sources.tables import read_jsonl_table, read_parquet_table
+from linkloom.sources.tables import quarantine_jsonl_table, read_jsonl_table, read_parquet_table
 from linkloom.plans import job
 from linkloom.sources.workspace import Workspace, checkpoint_root
 
@@ -70,6 +70,49 @@ def test_json_that_does_not_fit_fails(spark, tmp_path):
         read_jsonl_table(spark, "redirect", str(path)).collect()
 
 
+def test_bad_json_lines_are_quarantined(spark, tmp_path):
+    good = [
+        '{"page_id": 1, "page_title": "a", "page_namespace": 0, "page_is_redirect": false}',
+        '{"page_is_redirect": 1, "page_title": "b", "page_id": 2, "other": {"x": [1]}}',
+        '{"page_id": 3, "page_title": null}',
+        "",
+        " ",
+    ]
+    bad = {
+        '{"page_id": 4, "page_ti': "not a JSON object",
+        "no json at all": "not a JSON object",
+        '{"page_id": "four", "page_title": "d"}': "page_id is no bigint",
+        '{"page_id": 5, "page_namespace": 1.5}': "page_namespace is no bigint",
+        '{"page_id": 6, "page_is_redirect": "maybe"}': "page_is_redirect is no boolean",
+    }
+    path = tmp_path / "page.jsonl"
+    path.write_bytes("\r\n".join([*good, *bad]).encode() + b"\r\n")
+    found = quarantine_jsonl_table(spark, "page", str(path), str(tmp_path / "bad"))
+    assert found.table.schema.simpleString() == SCHEMAS["page"].simpleString()
+    assert rows(found.table) == [(1, "a", 0, False), (2, "b", None, True), (3, None, None, None)]
+    stored = spark.read.parquet(str(tmp_path / "bad"))
+    assert {r["text"]: r["reason"] for r in stored.collect()} == bad and found.n_bad == len(bad)
+    assert all(r["file"].endswith("page.jsonl") for r in stored.collect())
+    path.write_text("\n".join(good))
+    clean = quarantine_jsonl_table(spark, "page", str(path), str(tmp_path / "none"))
+    assert clean.n_bad == 0 and rows(clean.bad) == []
+    assert rows(clean.table) == rows(read_jsonl_table(spark, "page", str(path)))
+
+
+def test_quarantine_of_all_tables(spark, harbour, tmp_path):
+    paths = {}
+    for name, frame in harbour._asdict().items():
+        paths[name] = str(tmp_path / name)
+        frame.write.json(paths[name])
+    with open(f"{paths['pagelinks']}/broken.json", "w") as file:
+        file.write('{"pl_from": 1, "pl_fr\n')
+    tables = load_tables(spark, paths, "json", quarantine=str(tmp_path / "bad"))
+    assert rows(mutual_links(tables)) == [(11, 13), (16, 17)]
+    assert spark.read.parquet(str(tmp_path / "bad" / "pagelinks")).count() == 1
+    with pytest.raises(ValueError, match="JSON"):
+        load_tables(spark, paths, quarantine=str(tmp_path / "bad"))
+
+
 def test_json_tables_end_to_end(spark, harbour, tmp_path):
     paths = {}
     for name, frame in harbour._asdict().items():
