@@ -2,8 +2,9 @@
 
 Overlapping heuristics vote on every document: good, bad, or nothing. Expectation
 maximisation over the table of vote patterns, counted over all documents, estimates how often each
-heuristic is right about good and bad documents, and from that how likely each
-pattern is good. These posteriors are the labels on which a linear scorer over hashed features is
+heuristic says good, bad or nothing about good documents and about bad ones, and from that how likely each
+pattern is good. Heuristics that nearly always say the same share one vote between them, as the estimate takes
+votes as independent. These posteriors are the labels on which a linear scorer over hashed features is
 trained; its score decides, so documents are told apart by more than the votes.
 """
 
@@ -39,7 +40,10 @@ STATS = 8
 # Shares of trigrams in a text with few of them are drawn towards nothing.
 FEW = 60
 EM_ROUNDS = 200
-LEAST_ACCURACY = 0.85
+# A vote is at least so many times as likely about a document of its kind as about another: just above chance.
+LEAST_ODDS = 1.05
+# Labellers that agree on this share of the documents on which either votes share one vote.
+SAME_VOTE = 0.8
 # The scorer's training sample: documents with the least hash, long ones by parts of them.
 TRAIN_DOCS = 3_000
 TRAIN_CHARS = 50_000
@@ -105,30 +109,47 @@ def votes_of(patterns):
     return np.asarray(patterns)[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
 
 
+def vote_shares(votes, weight):
+    """What each labeller's vote counts: 1, or the part of it that is left to one of several alike."""
+    cast = votes != NONE
+    group = np.arange(votes.shape[1])
+    for i in range(len(group)):
+        for j in range(i):
+            either = weight @ (cast[:, i] | cast[:, j])
+            both = weight @ (cast[:, i] & (votes[:, i] == votes[:, j]))
+            if either and both >= SAME_VOTE * either:
+                group[group == group[i]] = group[j]
+    return 1 / (group[:, None] == group).sum(axis=1)
+
+
 def expectation_maximisation(patterns, counts, rounds=EM_ROUNDS):
-    """(posterior of good for each pattern, accuracy of each labeller).
+    """(posterior of good for each pattern, rates of each labeller).
 
-    A labeller that votes is right with its accuracy, whatever the label and the other
-    votes; silence says nothing. Accuracies stay above ``LEAST_ACCURACY``: a
-    heuristic is taken to be better than chance.
+    ``rates[label, labeller, vote]`` is how often a labeller votes so on documents of a label; silence is a
+    vote of its own kind. The only thing taken for granted is the sense of votes: a vote for good is at least ``LEAST_ODDS``
+    times as likely about a good document as about a bad one, and the other way round.
     """
     votes = votes_of(patterns)
     weight = np.asarray(counts, float)
-    says_good, says_bad = votes == GOOD, votes == BAD
-    cast = weight @ (says_good | says_bad)
-    accuracy = np.full(len(LABELLERS), 0.8)
-    prior, good = 0.8, np.full(len(votes), 0.5)
+    share = vote_shares(votes, weight)
+    one = np.stack([votes == kind for kind in (BAD, GOOD, NONE)], axis=2).astype(float)
+    # Start from the sum of votes, most documents being good.
+    good = 1 / (1 + np.exp(-np.log(4) - 2 * ((one[:, :, GOOD] - one[:, :, BAD]) @ share)))
+    rates = np.full((2, votes.shape[1], 3), 1 / 3)
     for _ in range(rounds):
-        trust = np.log(accuracy / (1 - accuracy))
+        prior = np.clip((weight @ good + 4) / (weight.sum() + 5), 0.01, 0.99)
+        for label, chance in ((BAD, 1 - good), (GOOD, good)):
+            seen = np.einsum("p,plv->lv", weight * chance, one) + (0.5, 0.5, 1)
+            rates[label] = seen / seen.sum(axis=1, keepdims=True)
+        odds = np.log(rates[GOOD] / rates[BAD])
+        odds[:, GOOD] = np.maximum(odds[:, GOOD], np.log(LEAST_ODDS))
+        odds[:, BAD] = np.minimum(odds[:, BAD], -np.log(LEAST_ODDS))
         before = good
-        logs = np.log(prior / (1 - prior)) + says_good @ trust - says_bad @ trust
+        logs = np.log(prior / (1 - prior)) + np.einsum("plv,lv,l->p", one, odds, share)
         good = 1 / (1 + np.exp(-np.clip(logs, -500, 500)))
-        right = (weight * good) @ says_good + (weight * (1 - good)) @ says_bad
-        accuracy = np.clip((right + 4) / (cast + 5), LEAST_ACCURACY, 0.995)
-        prior = np.clip((weight @ good + 4) / (weight.sum() + 5), 0.5, 0.99)
         if np.abs(good - before).max(initial=0) < 1e-9:
             break
-    return good, accuracy
+    return good, rates
 
 
 def features(texts, stats):
@@ -161,8 +182,8 @@ def train_scorer(x, target, rounds=TRAIN_ROUNDS):
 class Scorer:
     """Pattern posteriors and the trained linear scorer."""
 
-    def __init__(self, posterior, accuracy, weights):
-        self.posterior, self.accuracy, self.weights = posterior, accuracy, weights
+    def __init__(self, posterior, rates, weights):
+        self.posterior, self.rates, self.weights = posterior, rates, weights
 
     def score(self, texts, stats):
         codes, counts = gram_codes(texts, BUCKETS)
@@ -196,12 +217,12 @@ def train(own: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
     if not table.num_rows:
         return None
     patterns = table["pattern"].to_numpy()
-    good, accuracy = expectation_maximisation(patterns, table["n"].to_numpy())
+    good, rates = expectation_maximisation(patterns, table["n"].to_numpy())
     posterior = dict(zip(patterns.tolist(), good.tolist()))
     # Labels come from the votes on whole texts.
     found = sample_texts(own, train_docs, TRAIN_CHARS, mark=lambda text: pattern_of(statistics(text)[1]))
     if not found:
-        return Scorer(posterior, accuracy, np.zeros(BUCKETS + STATS + 1))
+        return Scorer(posterior, rates, np.zeros(BUCKETS + STATS + 1))
     texts = [r["text"] for r in found]
     stats = [statistics(t)[0] for t in texts]
     blocks = [
@@ -209,7 +230,7 @@ def train(own: DataFrame, train_docs: int = TRAIN_DOCS) -> Scorer | None:
         for i in range(0, len(texts), 100)
     ]
     target = np.array([posterior[r["mark"]] for r in found])
-    return Scorer(posterior, accuracy, train_scorer(np.vstack(blocks), target))
+    return Scorer(posterior, rates, train_scorer(np.vstack(blocks), target))
 
 
 def _judge(texts, scorer):

@@ -592,24 +592,72 @@ def test_quality_agrees_with_labels(spark, engine):
     assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.4
 
 
-def test_accuracies_are_recovered():
-    """Votes drawn with known accuracies, among many that stay silent."""
-    random = np.random.default_rng(8)
-    truth = random.random(20_000) < 0.8
-    accuracy = np.linspace(0.86, 0.98, len(quality.LABELLERS))
-    votes = np.full((len(truth), len(accuracy)), quality.NONE)
-    for i, a in enumerate(accuracy):
-        cast = random.random(len(truth)) < 0.7
-        right = random.random(len(truth)) < a
-        votes[cast, i] = np.where(right, truth, ~truth)[cast]
-    patterns, counts = np.unique(
-        [quality.pattern_of(v) for v in votes.tolist()], return_counts=True
+def drawn_votes(truth, says, random):
+    """Votes of labellers whose chances of (bad, good, nothing) are given per label."""
+    votes = np.empty((len(truth), len(says)), np.int64)
+    for i, per_label in enumerate(says):
+        for label, chances in enumerate(per_label):
+            own = truth == label
+            votes[own, i] = random.choice(3, own.sum(), p=chances)
+    return votes
+
+
+def estimate(votes):
+    full = np.full((len(votes), len(quality.LABELLERS)), quality.NONE)
+    full[:, : votes.shape[1]] = votes
+    patterns, place, counts = np.unique(
+        [quality.pattern_of(v) for v in full.tolist()], return_inverse=True, return_counts=True
     )
-    assert (quality.votes_of(patterns) == np.array([
-        [p // 3**i % 3 for i in range(len(accuracy))] for p in patterns.tolist()
-    ])).all()
-    good, found = quality.expectation_maximisation(patterns, counts)
-    assert np.abs(found - accuracy).max() < 0.02
+    assert (quality.votes_of(patterns)[place] == full).all()
+    good, rates = quality.expectation_maximisation(patterns, counts)
+    return good[place], rates[:, : votes.shape[1]]
+
+
+def test_rates_of_weak_labellers_are_recovered():
+    """Labellers that are right from 55 to 95 times in a hundred, and differ between labels."""
+    random = np.random.default_rng(8)
+    truth = (random.random(40_000) < 0.7).astype(int)
+    says = []
+    for a, b in zip(np.linspace(0.55, 0.95, 11), np.linspace(0.85, 0.6, 11)):
+        says.append([(0.7 * b, 0.7 * (1 - b), 0.3), (0.7 * (1 - a), 0.7 * a, 0.3)])
+    good, rates = estimate(drawn_votes(truth, says, random))
+    assert np.abs(rates - np.array(says).transpose(1, 0, 2)).max() < 0.03
+    assert ((good > 0.5) == truth).mean() > 0.93
+
+
+def test_detectors_that_only_say_bad():
+    """Each finds some bad documents and hardly any good ones; silence on a document speaks for it."""
+    random = np.random.default_rng(9)
+    truth = (random.random(30_000) < 0.85).astype(int)
+    says = [[(hit, 0, 1 - hit), (wrong, 0, 1 - wrong)] for hit, wrong in
+            ((0.5, 0.01), (0.6, 0.02), (0.4, 0.005), (0.55, 0.05), (0.5, 0.03))]
+    good, rates = estimate(drawn_votes(truth, says, random))
+    assert np.abs(rates[:, :, 0] - np.array([[s[0][0] for s in says], [s[1][0] for s in says]])).max() < 0.05
+    assert ((good > 0.5) == truth).mean() > 0.96
+
+
+def test_copies_of_a_labeller_share_one_vote():
+    """A weak labeller, counted six times, does not outvote three good ones."""
+    random = np.random.default_rng(10)
+    truth = (random.random(20_000) < 0.6).astype(int)
+    chances = lambda a: [(a, 1 - a, 0), (1 - a, a, 0)]
+    votes = drawn_votes(truth, [chances(0.85)] * 3 + [chances(0.6)], random)
+    copies = np.hstack([votes, np.repeat(votes[:, 3:], 5, axis=1)])
+    weight = np.ones(len(copies))
+    assert quality.vote_shares(copies, weight).tolist() == [1, 1, 1] + [1 / 6] * 6
+    good, _ = estimate(copies)
+    best = ((votes[:, :3].sum(axis=1) >= 2) == truth).mean()
+    assert ((good > 0.5) == truth).mean() > best - 0.01
+
+
+def test_votes_are_counted_over_all_documents(spark, documents):
+    frame = spark.createDataFrame(documents + [(None, None), (1, "")], "doc_id long, text string")
+    got = {r["pattern"]: r["n"] for r in quality._vote_counts(frame).collect()}
+    texts = [t for _, t in documents] + [None, ""]
+    assert got == Counter(quality.pattern_of(quality.statistics(t)[1]) for t in texts)
+    judged = {r["pattern"]: r["weak_label"] for r in quality.classify(frame).collect()}
+    good, _ = quality.expectation_maximisation(sorted(got), [got[p] for p in sorted(got)])
+    assert judged == pytest.approx(dict(zip(sorted(got), good.tolist())))
 
 
 def test_sample_has_long_texts(spark):
