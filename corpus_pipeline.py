@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import decontam, pieces, quality, repeats, simhash
 from linkloom.llm.queries import PIECE_MODEL
-from linkloom.sources.workspace import Workspace
+from linkloom.sources.workspace import Workspace, scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -63,9 +63,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each gives is a stored table that the next one reads."""
+    """All stages over ``documents``; what each gives is a stored table that the next one reads.
+
+    The tables that a stage works with go when it is written, and its result when the next one is.
+    """
     work = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs, _ = work.store(stage(spark, docs, sf_dir), f"stage-{number}")
+    try:
+        for number, (_, stage) in enumerate(STAGES):
+            with scope():
+                docs, _ = work.store(stage(spark, docs, sf_dir), f"stage-{number}")
+            if number:
+                work.drop(f"stage-{number - 1}")
+    except BaseException:
+        work.release()
+        raise
     return docs

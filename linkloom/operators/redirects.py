@@ -54,22 +54,24 @@ def resolve_targets(page: DataFrame, redirect: DataFrame, linktarget: DataFrame)
     title whatever the redirect table says, and all joins are inner, so rows
     with a NULL title drop out before any shuffle.
 
-    Targets of unflagged pages lead to their own title, by which they are shuffled already:
-    only redirected targets are shuffled again for the title that they lead to.
+    Titles are shuffled as keys only: targets and redirects once, pages once by what they are and once to be
+    looked up. What titles lead to are page ids, and redirects meet the targets' pages on these. Targets of
+    unflagged pages look up their own title, by which they lie already: another page may have it too.
     """
     pages = main_pages(page)
-    plain = pages.where(~F.col("page_is_redirect")).select("page_title")
-    flagged = pages.where(F.col("page_is_redirect") | F.col("page_is_redirect").isNull())
-    redirecting = flagged.join(redirect, flagged.page_id == redirect.rd_from).select(
-        "page_title", F.col("rd_title").alias("leads_to")
-    )
-    targets = linktarget.where(F.col("lt_namespace") == MAIN_NAMESPACE).select("lt_id", "lt_title")
     by_title = pages.select("page_id", F.col("page_title").alias("found_title"))
+    is_flagged = F.coalesce("page_is_redirect", F.lit(True))
+    plain = pages.where(~is_flagged).select("page_title")
+    flagged = pages.where(is_flagged).select(F.col("page_id").alias("own_id"), "page_title")
+    targets = linktarget.where(F.col("lt_namespace") == MAIN_NAMESPACE).select("lt_id", "lt_title")
     own_title = F.col("lt_title") == F.col("page_title")
+    leading = redirect.select("rd_from", F.col("rd_title").alias("leads_to")).join(
+        by_title, F.col("leads_to") == F.col("found_title")
+    )
     direct = targets.join(plain, own_title).join(
         by_title, F.col("lt_title") == F.col("found_title")
     )
-    redirected = targets.join(redirecting, own_title).join(
-        by_title, F.col("leads_to") == F.col("found_title")
+    redirected = targets.join(flagged, own_title).join(
+        leading, F.col("own_id") == F.col("rd_from")
     )
     return direct.select("lt_id", "page_id").unionByName(redirected.select("lt_id", "page_id"))

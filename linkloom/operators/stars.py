@@ -47,22 +47,18 @@ def _look_up(rows: DataFrame, key: str, other: str, table: DataFrame, limit: int
 
     ``least`` is NULL, and ``listed`` false, without an entry, or where the entry is not ``useful``.
     """
-    hot = table.where(F.col("load") > limit).select(
-        F.col("vertex").alias("hot_vertex"),
-        F.col("least").alias("hot_least"),
-        F.col("useful").alias("hot_useful"),
-    )
-    rest = table.where((F.col("load") <= limit) & F.col("useful"))
-    is_hot = F.col("hot_vertex").isNotNull()
-    spread_key = F.when(is_hot, F.col(other)).otherwise(F.col(key))
-    return (
-        rows.join(F.broadcast(hot), F.col(key) == F.col("hot_vertex"), "left")
-        .join(rest, (spread_key == F.col("vertex")) & ~is_hot, "left")
-        .select(
-            *rows.columns,
-            F.coalesce("hot_least", "least").alias("least"),
-            F.coalesce("hot_useful", F.col("vertex").isNotNull()).alias("listed"),
-        )
+    return rows.sparkSession.sql(
+        f"""
+        SELECT /*+ BROADCAST(hot) */ e.*, coalesce(hot.least, rest.least) AS least,
+          coalesce(hot.useful, rest.vertex IS NOT NULL) AS listed
+        FROM {{rows}} e
+        LEFT JOIN (SELECT * FROM {{table}} WHERE load > {int(limit)}) hot ON e.{key} = hot.vertex
+        LEFT JOIN (SELECT * FROM {{table}} WHERE load <= {int(limit)} AND useful) rest
+          ON rest.vertex = CASE WHEN hot.vertex IS NULL THEN e.{key} ELSE e.{other} END
+          AND hot.vertex IS NULL
+        """,
+        rows=rows,
+        table=table,
     )
 
 
@@ -75,21 +71,25 @@ def large_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     if "moved" not in edge_rows.columns:
         edge_rows = edge_rows.withColumn("moved", F.lit(True))
     # One row per end: the larger end learns its least neighbour, the smaller one how many rows it has.
-    as_hi = F.struct(F.col("hi").alias("vertex"), F.col("lo").alias("below"), F.lit(0).alias("row"))
-    as_lo = F.struct(F.col("lo").alias("vertex"), F.lit(None).cast("bigint").alias("below"), F.lit(1).alias("row"))
-    table = (
-        edge_rows.select("moved", F.inline(F.array(as_hi, as_lo)))
-        .groupBy("vertex")
-        .agg(F.min("below").alias("least"), F.sum("row").alias("load"), F.max("moved").alias("touched"))
-        .where(F.col("load") > 0)
-        .select("vertex", "least", "load", (F.col("least").isNotNull() | F.col("touched")).alias("useful"))
+    table = edge_rows.sparkSession.sql(
+        """
+        SELECT vertex, least, load, least IS NOT NULL OR touched AS useful
+        FROM (
+          SELECT vertex, min(below) AS least, sum(row) AS load, max(moved) AS touched
+          FROM (
+            SELECT moved, inline(array(
+              named_struct('vertex', hi, 'below', lo, 'row', 0),
+              named_struct('vertex', lo, 'below', CAST(NULL AS BIGINT), 'row', 1)))
+            FROM {rows}
+          )
+          GROUP BY vertex
+        )
+        WHERE load > 0
+        """,
+        rows=edge_rows,
     )
-    found = _look_up(edge_rows.select("hi", "lo"), "lo", "hi", table, limit)
-    return found.select(
-        "hi",
-        F.coalesce("least", "lo").alias("lo"),
-        F.col("least").isNotNull().alias("moved"),
-        (~F.col("listed")).alias("settled"),
+    return _look_up(edge_rows, "lo", "hi", table, limit).selectExpr(
+        "hi", "coalesce(least, lo) AS lo", "least IS NOT NULL AS moved", "NOT listed AS settled"
     )
 
 
@@ -102,21 +102,24 @@ def small_star(edge_rows: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     twice: store them.
     """
     # A vertex with one row has no second neighbour to move.
-    table = (
-        edge_rows.groupBy(F.col("hi").alias("vertex"))
-        .agg(F.min("lo").alias("least"), F.count("*").alias("load"))
-        .withColumn("useful", F.col("load") > 1)
+    table = edge_rows.sparkSession.sql(
+        """
+        SELECT hi AS vertex, min(lo) AS least, count(*) AS load, count(*) > 1 AS useful
+        FROM {rows} GROUP BY hi
+        """,
+        rows=edge_rows,
     )
-    found = _look_up(edge_rows.select("hi", "lo", "moved"), "hi", "lo", table, limit)
-    moves = F.coalesce(F.col("lo") > F.col("least"), F.lit(False))
-    return (
-        found.select(
-            F.when(moves, F.col("lo")).otherwise(F.col("hi")).alias("hi"),
-            F.when(moves, F.col("least")).otherwise(F.col("lo")).alias("lo"),
-            (F.col("moved") | moves).alias("moved"),
+    found = _look_up(edge_rows, "hi", "lo", table, limit)
+    return found.sparkSession.sql(
+        """
+        SELECT hi, lo, max(moved) AS moved
+        FROM (
+          SELECT if(moves, lo, hi) AS hi, if(moves, least, lo) AS lo, moved OR moves AS moved
+          FROM (SELECT hi, lo, least, moved, coalesce(lo > least, false) AS moves FROM {found})
         )
-        .groupBy("hi", "lo")
-        .agg(F.max("moved").alias("moved"))
+        GROUP BY hi, lo
+        """,
+        found=found,
     )
 
 

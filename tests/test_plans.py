@@ -331,12 +331,19 @@ def test_late_rounds_read_few_edge_buckets(spark, conf, tmp_path):
     work.drop()
 
 
-def test_targets_of_unflagged_pages_are_shuffled_once(stored, conf):
+def test_titles_are_shuffled_once_and_only_as_keys(stored, conf):
+    """Every table's titles move once, pages once more to be looked up; all other shuffles are of numbers."""
     conf(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
     text = plan(redirects.resolve_targets(stored.page, stored.redirect, stored.linktarget))
-    direct = text[text.index("Union") : text.index("leads_to")]
-    assert direct.count("hashpartitioning(lt_title") <= 1
-    assert text.count("hashpartitioning(leads_to") == 1
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#\d+", text)
+    assert moved.count("leads_to") == 1 and moved.count("found_title") <= 2
+    assert moved.count("lt_title") <= 2 and moved.count("page_title") == 2
+    assert sorted(set(moved)) == ["found_title", "leads_to", "lt_title", "own_id", "page_title", "rd_from"]
+    # The side that was joined on titles goes on with ids alone.
+    for key in ("own_id", "rd_from"):
+        at = text.index(f"hashpartitioning({key}")
+        below = text[at : at + 600]
+        assert re.search(r"Project \[[^\]]*\]", below) and "title" not in re.search(r"Project \[([^\]]*)\]", below)[1]
 
 
 def test_rounds_leave_no_lineage(spark):
