@@ -278,16 +278,6 @@ def test_draw_prefers_the_target(spark, documents):
     assert len(got) == 200 and sum(r["doc_id"] % 10 == 0 for r in got) > 100
 
 
-@pytest.mark.parametrize("name", ["op12_spelling", "op13_resampling"])
-def test_query_against_sql(spark, engine, name):
-    cursor = engine.execute(registry.oracle_sql()[name])
-    columns = [c[0] for c in cursor.description]
-    frame = registry.queries()[name](spark, FOLDER)
-    assert sorted(columns) == sorted(frame.columns)
-    want = sorted(map(repr, cursor.fetchall()))
-    assert sorted(repr(tuple(r)) for r in frame.select(*columns).collect()) == want and want
-
-
 # --- checksums and runs
 
 

@@ -1,6 +1,7 @@
 """Conversations, URLs, the queries with SQL, and the pipeline."""
 
 import hashlib
+import os
 
 import brute
 import pytest
@@ -14,6 +15,7 @@ import public_tokenizers
 import sentencepiece
 from linkloom.llm import chat, quality, simhash, urls
 from linkloom.llm.queries import URL_RULES, llm_oracle_sql
+from linkloom.sources.workspace import scope
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -187,3 +189,28 @@ def test_stages_take_odd_rows(spark, edges, nothing):
         assert out.count() <= len(edge_rows())
         assert name == "sentencepiece" or out.columns == columns
         assert stage(spark, nothing, FOLDER).collect() == []
+
+
+def test_queries_leave_nothing_in_a_scope(spark, monkeypatch):
+    """Tables that lazy results read go with the scope, and with a failing stage of the pipeline."""
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    for name in ("op3_substring_dedup", "op6_simhash", "op8_decontamination", "op12_spelling", "op13_resampling"):
+        with scope():
+            assert registry.queries()[name](spark, FOLDER).count() > 0
+            assert set(os.listdir(root)) > before
+        assert set(os.listdir(root)) <= before, name
+
+    def fails(spark, docs, sf_dir):
+        raise ZeroDivisionError
+
+    stages = [corpus_pipeline.STAGES[2], ("broken", fails)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    with pytest.raises(ZeroDivisionError):
+        corpus_pipeline.run(spark, FOLDER)
+    assert set(os.listdir(root)) <= before
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages[:1] * 2)
+    with scope():
+        kept = corpus_pipeline.run(spark, FOLDER)
+        assert kept.count() > 0 and len(set(os.listdir(root)) - before) == 1
+    assert set(os.listdir(root)) <= before
