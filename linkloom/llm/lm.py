@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.llm.pieces import ChunkTable, load
-from linkloom.llm.runs import LOWERED, text_bytes
+from linkloom.llm.runs import LOWERED, byte_table, cut_out, find_runs, text_bytes
 from linkloom.llm.tables import sample_texts
-from linkloom.llm.words import flat_words, hash_words, slices
+from linkloom.llm.words import hash_words, slices
 from linkloom.sources.workspace import Workspace
 
 WINDOW, STEP = 32, 16
@@ -47,6 +47,8 @@ ROWS_PER_PASS = 100
 HELD_WORDS = 2_000_000
 END = np.uint64(0)
 
+IN_WORD = byte_table(lambda b: b != 32 and not 9 <= b <= 13)
+
 
 def lower(column):
     """An Arrow column of texts with A-Z lowered; '' for NULL."""
@@ -55,6 +57,16 @@ def lower(column):
     return pa.Array.from_buffers(pa.large_string(), len(column), buffers)
 
 
+def hashed_words(column):
+    """(hashes, counts): hash of each lowered word of all texts in a row, and how many each text has."""
+    data, offsets = text_bytes(column)
+    inside = IN_WORD[data]
+    starts, ends, owner = find_runs(inside, offsets)
+    coded = cut_out(LOWERED[data], starts, ends, inside).dictionary_encode()
+    hashes = hash_words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    return hashes, np.bincount(owner, minlength=len(column))
+
+
 def subword_ids(texts, table):
     """Ids of each text, lowered, with begin and end ids, through a table of distinct chunks."""
     column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -303,8 +315,8 @@ def _word_counts(train: DataFrame) -> DataFrame:
     def run(batches):
         held = []
         for part in slices(batches, limit=BLOCK_BYTES):
-            flat, counts = flat_words(part.column("text").to_pylist(), lower=True)
-            held += [hash_words(flat), np.full(len(counts), END)]
+            hashes, counts = hashed_words(part.column("text"))
+            held += [hashes, np.full(len(counts), END)]
             if sum(map(len, held)) >= HELD_WORDS:
                 yield counted(held)
                 held = []
@@ -531,9 +543,8 @@ def score_texts(
         """Sums over the frequent words of each text, and a row for each other word."""
         end, _ = split(np.array([END]))
         for part in slices(batches, limit=BLOCK_BYTES):
-            flat, sizes = flat_words(part.column("text").to_pylist(), lower=True)
+            hashes, sizes = hashed_words(part.column("text"))
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            hashes = hash_words(flat)
             n, found = split(hashes)
             base = np.bincount(owner[found], log_share(n[found]), len(sizes)) + log_share(end[0])
             known = np.bincount(owner[found], minlength=len(sizes)) + int(end[0] > 0)
