@@ -10,9 +10,9 @@ from linkloom.plans import components, job
 from linkloom.sources.workspace import MarkLog, Workspace
 
 METHODS = ["star", "min_label"]
-# A long path and many small components.
-PAIRS = [(i, i + 1) for i in range(40)] + [(100 + 3 * i, 101 + 3 * i) for i in range(50)]
-WANT = sorted([(v, 0) for v in range(41)] + [(100 + 3 * i + d, 100 + 3 * i) for i in range(50) for d in (0, 1)])
+# A path and small components.
+PAIRS = [(i, i + 1) for i in range(12)] + [(100 + 3 * i, 101 + 3 * i) for i in range(20)]
+WANT = sorted([(v, 0) for v in range(13)] + [(100 + 3 * i + d, 100 + 3 * i) for i in range(20) for d in (0, 1)])
 
 
 @pytest.fixture
@@ -80,7 +80,7 @@ def test_run_goes_on_after_its_last_round(spark, pairs, method, tmp_path, monkey
 
 
 @pytest.mark.parametrize("method", METHODS)
-@pytest.mark.parametrize("number", [2, 5, 7])
+@pytest.mark.parametrize("number", [2, 7])
 def test_run_that_stops_in_any_write_goes_on(spark, pairs, method, number, tmp_path, monkeypatch):
     """The driver ends within a job that stores a table; half of the table stays behind."""
     options = {"method": method, "checkpoint_dir": str(tmp_path), "run_id": "r1"}
@@ -169,7 +169,7 @@ def contents(found):
     return [rows(getattr(found, name)) for name in job.RESULTS]
 
 
-@pytest.mark.parametrize("number, run_id", [(1, None), (2, "w"), (3, "w"), (4, "w"), (5, None), (5, "w")])
+@pytest.mark.parametrize("number, run_id", [(1, "w"), (2, None), (3, "w"), (4, "w"), (5, None)])
 def test_readers_see_one_version(spark, stored, tmp_path, monkeypatch, number, run_id):
     out, scratch = str(tmp_path / "out"), tmp_path / "scratch"
     old = contents(run_job(load_tables(spark, stored), out, str(scratch)))
