@@ -17,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from linkloom.llm.pieces import ChunkTable, load
-from linkloom.llm.runs import LOWERED, byte_table, cut_out, find_runs, text_bytes
+from linkloom.llm.pieces import HashedChunkTable, kept_table, load
+from linkloom.llm.runs import LOWERED, byte_table, find_runs, text_bytes
 from linkloom.llm.tables import sample_texts
-from linkloom.llm.words import hash_words, slices
+from linkloom.llm.words import run_hashes, slices
 from linkloom.sources.workspace import Workspace
 
 WINDOW, STEP = 32, 16
@@ -37,8 +37,6 @@ FREQUENT = 300_000
 BLOCK_BYTES = 1 << 20
 # Windows scored at a time, so that their numbers stay in a processor's cache.
 SCORE_WINDOWS = 192
-# Places whose slopes are added up by id together.
-HELD_PLACES = 1 << 17
 # Bytes of packed ids that are taken at a time; a longer text comes alone.
 PACKED_BYTES = 1 << 19
 # Blocks of slopes in a batch.
@@ -62,9 +60,7 @@ def hashed_words(column):
     data, offsets = text_bytes(column)
     inside = IN_WORD[data]
     starts, ends, owner = find_runs(inside, offsets)
-    coded = cut_out(LOWERED[data], starts, ends, inside).dictionary_encode()
-    hashes = hash_words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-    return hashes, np.bincount(owner, minlength=len(column))
+    return run_hashes(LOWERED[data], starts, ends), np.bincount(owner, minlength=len(column))
 
 
 def subword_ids(texts, table):
@@ -86,9 +82,19 @@ def id_classes(counts, pieces, classes=CLASSES):
 
 
 def add_by_id(table, ids, rows):
-    """Add each row to the row of ``table`` that its id names."""
-    for column in range(table.shape[1]):
-        table[:, column] += np.bincount(ids, rows[:, column], len(table))
+    """Add each row to the row of ``table`` that its id names. Two columns make one complex number."""
+    pairs = table.view(np.complex128)
+    at = ids[:, None] * pairs.shape[1] + np.arange(pairs.shape[1])
+    np.add.at(pairs.ravel(), at.ravel(), rows.ravel().view(np.complex64).astype(np.complex128))
+
+
+class Room(dict):
+    """Large arrays by name, kept between calls: fresh memory for each costs more than the arithmetic."""
+
+    def space(self, name, *shape):
+        if name not in self or self[name].shape != shape:
+            self[name] = np.empty(shape, np.float32)
+        return self[name]
 
 
 class Attention:
@@ -127,72 +133,82 @@ class Attention:
         logs = logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
         return logs, (x, q, k, v, weights, hidden)
 
-    def log_chances(self, ids, first, targets):
+    def log_chances(self, ids, first, targets, room=None):
         """Log chance of the target class after each place from ``first`` on: (windows, places).
 
         The same numbers as ``forward`` gives, with fewer passes: one product for all
         projections, sums as products with ones, and only the targets' logits kept.
         """
         p, (count, n) = self.p, ids.shape
-        x = np.take(p["ids"], ids.ravel(), axis=0).reshape(count, n, WIDTH)
-        x += p["spots"][:n]
-        x = x.reshape(-1, WIDTH)
-        kv = (x @ np.hstack([p["key"], p["value"]])).reshape(count, n, 2 * WIDTH)
-        own = x.reshape(count, n, WIDTH)[:, first:].reshape(-1, WIDTH)
-        q = (own @ (p["query"] * np.float32(WIDTH**-0.5))).reshape(count, n - first, WIDTH)
-        weights = q @ kv[:, :, :WIDTH].transpose(0, 2, 1)
+        space, own_n = (Room() if room is None else room).space, n - first
+        x = np.take(p["ids"], ids.ravel(), axis=0, out=space("x", count * n, WIDTH), mode="clip")
+        x.reshape(count, n, WIDTH)[:] += p["spots"][:n]
+        kv = np.matmul(x, np.hstack([p["key"], p["value"]]), out=space("kv", count * n, 2 * WIDTH))
+        kv = kv.reshape(count, n, 2 * WIDTH)
+        own = space("own", count * own_n, WIDTH)
+        own.reshape(count, own_n, WIDTH)[:] = x.reshape(count, n, WIDTH)[:, first:]
+        q = np.matmul(own, p["query"] * np.float32(WIDTH**-0.5), out=space("q", count * own_n, WIDTH))
+        # Products of small matrices go faster with the second one as it is than turned.
+        keys = space("keys", count, WIDTH, n)
+        keys[:] = kv[:, :, :WIDTH].transpose(0, 2, 1)
+        weights = np.matmul(q.reshape(count, own_n, WIDTH), keys, out=space("weights", count, own_n, n))
         np.exp(np.minimum(weights, 80, out=weights), out=weights)
         weights *= self.seen[first:n, :n]
-        mixed = (weights @ kv[:, :, WIDTH:]).reshape(-1, WIDTH)
+        mixed = np.matmul(weights, kv[:, :, WIDTH:], out=space("mixed", count, own_n, WIDTH)).reshape(-1, WIDTH)
         mixed /= (weights.reshape(-1, n) @ np.ones(n, np.float32))[:, None]
-        logits = (own + mixed) @ p["out"] + p["bias"]
+        mixed += own
+        logits = np.matmul(mixed, p["out"], out=space("logits", count * own_n, p["out"].shape[1]))
+        logits += p["bias"]
         found = logits[np.arange(len(logits)), targets.ravel()]
         np.exp(np.minimum(logits, 80, out=logits), out=logits)
         found -= np.log(logits @ np.ones(logits.shape[1], np.float32))
-        return found.reshape(count, n - first)
+        return found.reshape(count, own_n)
 
     def slope_sums(self, ids, targets, used, room=None):
         """Gradient of the summed log loss over the used places of full windows.
 
-        Of the embeddings one row per place, as ``places``. ``room`` is a dict that keeps the large arrays
-        between calls: fresh memory for each costs more than the arithmetic.
+        Of the embeddings one row per place, as ``places``, which stays until the next call with this ``room``.
         """
         p, (count, n) = self.p, ids.shape
         flat, scale = ids.ravel(), np.float32(WIDTH**-0.5)
-        used, room = used.ravel().astype(np.float32), {} if room is None else room
-
-        def space(name, *shape):
-            if name not in room or room[name].shape != shape:
-                room[name] = np.empty(shape, np.float32)
-            return room[name]
-
+        used, space = used.ravel().astype(np.float32), (Room() if room is None else room).space
+        ones = np.ones(max(n, p["out"].shape[1], count * n), np.float32)
         x = np.take(p["ids"], flat, axis=0, out=space("x", count * n, WIDTH), mode="clip")
         x.reshape(count, n, WIDTH)[:] += p["spots"][:n]
         projections = np.hstack([p["query"] * scale, p["key"], p["value"]])
         parts = (slice(0, WIDTH), slice(WIDTH, 2 * WIDTH), slice(2 * WIDTH, 3 * WIDTH))
         qkv = np.matmul(x, projections, out=space("qkv", count * n, 3 * WIDTH)).reshape(count, n, 3 * WIDTH)
         q, k, v = (qkv[:, :, part] for part in parts)
-        weights = np.matmul(q, k.transpose(0, 2, 1), out=space("weights", count, n, n))
+        # Products of small matrices go faster with the second one as it is than turned.
+        keys, values = space("keys", count, WIDTH, n), space("values", count, WIDTH, n)
+        keys[:], values[:] = k.transpose(0, 2, 1), v.transpose(0, 2, 1)
+        # Weights stay without their sums: what has a row's share is divided, which is half as wide.
+        weights = np.matmul(q, keys, out=space("weights", count, n, n))
         np.exp(np.minimum(weights, 80, out=weights), out=weights)
         weights *= self.seen[:n, :n]
-        weights /= (weights.reshape(-1, n) @ np.ones(n, np.float32)).reshape(count, n, 1)
-        hidden = np.matmul(weights, v, out=space("hidden", count, n, WIDTH)).reshape(-1, WIDTH)
-        hidden += x
+        sums = (weights.reshape(-1, n) @ ones[:n])[:, None]
+        mixed = np.matmul(weights, v, out=space("mixed", count, n, WIDTH)).reshape(-1, WIDTH)
+        mixed /= sums
+        hidden = np.add(mixed, x, out=space("hidden", count * n, WIDTH))
         slopes = np.matmul(hidden, p["out"], out=space("slopes", count * n, p["out"].shape[1]))
         slopes += p["bias"]
         np.exp(np.minimum(slopes, 80, out=slopes), out=slopes)
-        slopes *= (used / (slopes @ np.ones(slopes.shape[1], np.float32)))[:, None]
+        slopes *= (used / (slopes @ ones[: slopes.shape[1]]))[:, None]
         slopes[np.arange(len(slopes)), targets.ravel()] -= used
-        d_hidden = np.matmul(slopes, p["out"].T, out=space("d_hidden", count * n, WIDTH)).reshape(count, n, WIDTH)
-        d_scores = np.matmul(d_hidden, v.transpose(0, 2, 1), out=space("d_scores", count, n, n))
-        d_scores -= np.einsum("ijk,ijk->ij", d_scores, weights)[:, :, None]
+        d_hidden = np.matmul(slopes, p["out"].T, out=space("d_hidden", count * n, WIDTH))
+        d_mixed = np.divide(d_hidden, sums, out=space("d_mixed", count * n, WIDTH))
+        level = np.einsum("ij,ij->i", d_mixed, mixed).reshape(count, n, 1)
+        d_mixed = d_mixed.reshape(count, n, WIDTH)
+        d_scores = np.matmul(d_mixed, values, out=space("d_scores", count, n, n))
+        d_scores -= level
         d_scores *= weights
         d_qkv = space("d_qkv", count, n, 3 * WIDTH)
         np.matmul(d_scores, k, out=d_qkv[:, :, parts[0]])
         np.matmul(d_scores.transpose(0, 2, 1), q, out=d_qkv[:, :, parts[1]])
-        np.matmul(weights.transpose(0, 2, 1), d_hidden, out=d_qkv[:, :, parts[2]])
+        np.matmul(weights.transpose(0, 2, 1), d_mixed, out=d_qkv[:, :, parts[2]])
         d_qkv = d_qkv.reshape(-1, 3 * WIDTH)
-        d_x = d_hidden.reshape(-1, WIDTH) + d_qkv @ projections.T
+        d_x = np.matmul(d_qkv, projections.T, out=space("d_x", count * n, WIDTH))
+        d_x += d_hidden
         d_projections = x.T @ d_qkv
         return {
             "places": d_x,
@@ -201,13 +217,13 @@ class Attention:
             "key": d_projections[:, parts[1]],
             "value": d_projections[:, parts[2]],
             "out": hidden.T @ slopes,
-            "bias": slopes.sum(axis=0),
+            "bias": ones[: len(slopes)] @ slopes,
         }
 
     def gradients(self, ids, targets, used):
         """Gradient of the mean log loss over the used places of full windows."""
         sums = self.slope_sums(ids, targets, used)
-        d_ids = np.zeros_like(self.p["ids"])
+        d_ids = np.zeros(self.p["ids"].shape)
         add_by_id(d_ids, ids.ravel(), sums.pop("places"))
         return {k: s / used.sum() for k, s in (sums | {"ids": d_ids}).items()}
 
@@ -220,22 +236,16 @@ class Attention:
         owner = np.repeat(np.arange(len(sizes)), number)
         starts = begin[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)) * WINDOW
         ends = (begin + sizes)[owner]
-        room, seen, places, held = {}, [], [], 0
+        room = Room()
         for i in range(0, len(starts), TRAIN_WINDOWS):
             at = starts[i : i + TRAIN_WINDOWS, None] + np.arange(WINDOW)
             used = (at + 1 < ends[i : i + TRAIN_WINDOWS, None]).astype(np.float32)
-            found = self.slope_sums(line[at], kinds[line[at + 1]], used, room)
-            seen.append(line[at].ravel())
-            places.append(found.pop("places"))
-            held += at.size
-            if held >= HELD_PLACES:
-                add_by_id(sums["ids"], np.concatenate(seen), np.concatenate(places))
-                seen, places, held = [], [], 0
+            seen = line[at]
+            found = self.slope_sums(seen, kinds[line[at + 1]], used, room)
+            add_by_id(sums["ids"], seen.ravel(), found.pop("places"))
             for name, slope in found.items():
                 sums[name] += slope
             sums["used"] += used.sum()
-        if held:
-            add_by_id(sums["ids"], np.concatenate(seen), np.concatenate(places))
 
     def train(self, texts, kinds, rounds=TRAIN_ROUNDS, seed=11):
         """Fit on id lists: windows drawn from random places, all of them full or padded by the end id."""
@@ -272,7 +282,7 @@ class Scorer:
 
     def _windows(self, line, starts, first, sums, owners, ends):
         """Add up what windows at ``starts`` of ``line`` score from their place ``first`` on."""
-        per_pass = SCORE_WINDOWS
+        per_pass, room = SCORE_WINDOWS, Room()
         for i in range(0, len(starts), per_pass):
             at = starts[i : i + per_pass, None] + np.arange(WINDOW)
             own, stop = owners[i : i + per_pass], ends[i : i + per_pass]
@@ -280,7 +290,7 @@ class Scorer:
             real = target < stop[:, None]
             ids = line[np.minimum(target, len(line) - 1)]
             seen = line[np.minimum(at, len(line) - 1)]
-            found = self.model.log_chances(seen, first, self.kinds[ids])
+            found = self.model.log_chances(seen, first, self.kinds[ids], room)
             found = np.where(real, found / np.log(10) + self.shares[ids], 0)
             sums += np.bincount(own, found.sum(axis=1), len(sums))
 
@@ -362,14 +372,14 @@ def _subwords(own: DataFrame, model_file: str, id_type: str) -> DataFrame:
     """(doc_id, tag, learn, ids) of every text; ids are packed."""
 
     def run(batches):
-        table = ChunkTable(load(model_file), decode=False)
-        for part in slices(batches, limit=BLOCK_BYTES):
-            table = table.renewed()
-            packed = [pack_ids(ids) for ids in subword_ids(part.column("text"), table)]
-            columns = [part.column(c) for c in ("doc_id", "tag", "learn")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(packed, pa.binary())], ["doc_id", "tag", "learn", "ids"]
-            )
+        with kept_table(model_file) as held:
+            for part in slices(batches, limit=BLOCK_BYTES):
+                held[0] = held[0].renewed()
+                packed = [pack_ids(ids) for ids in subword_ids(part.column("text"), held[0])]
+                columns = [part.column(c) for c in ("doc_id", "tag", "learn")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(packed, pa.binary())], ["doc_id", "tag", "learn", "ids"]
+                )
 
     return own.mapInArrow(run, f"doc_id {id_type}, tag bigint, learn boolean, ids binary")
 
@@ -449,8 +459,7 @@ def _id_counts(subwords: DataFrame, size: int) -> np.ndarray:
     def run(batches):
         sums = np.zeros(size, np.int64)
         for batch in batches:
-            for packed in batch.column("ids").to_pylist():
-                sums += np.bincount(unpack_ids(packed), minlength=size)
+            sums += np.bincount(unpack_ids(b"".join(batch.column("ids").to_pylist())), minlength=size)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["id", "n"])
 
@@ -470,7 +479,7 @@ def train_model(own: DataFrame, subwords: DataFrame, model_file: str, train_docs
     kinds, shares = id_classes(counts, [model.id_to_piece(i) for i in range(len(counts))])
     texts = [r["text"] for r in sample_texts(own.where("learn"), train_docs, TRAIN_CHARS)]
     attention = Attention(len(counts))
-    table = ChunkTable(model, decode=False)
+    table = HashedChunkTable(model)
     attention.train(subword_ids(texts, table), kinds)
     learn_from_all(attention, subwords, kinds)
     return Scorer(attention, kinds, shares)

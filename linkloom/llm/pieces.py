@@ -13,7 +13,9 @@ chunks, and the blocks themselves, together by key: more than twice the input.
 """
 
 import hashlib
+import os
 import re
+from contextlib import contextmanager
 from itertools import chain, islice
 
 import numpy as np
@@ -23,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
 from linkloom.llm.runs import text_bytes
-from linkloom.llm.words import slices
+from linkloom.llm.words import run_hashes, slices
 
 MARK = "▁"
 LINE_FEED = "\n"
@@ -31,6 +33,8 @@ LINE_FEED = "\n"
 BLOCK_BYTES = 2 << 20
 # A task's table starts anew after the block with which it reaches this many chunks (about 40 MB).
 MOST_CHUNKS = 200_000
+# The same for a table that keeps hashes (about 50 bytes a chunk).
+MOST_HASHED = 500_000
 # Chunks that the library is given at a time, as lines of one text.
 LINES = 64
 
@@ -119,30 +123,42 @@ class ChunkTable:
         Each distinct chunk of the column is looked up once.
         """
         found, counts = cut_chunks(column)
-        coded = found.dictionary_encode()
-        number = np.fromiter(
-            map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary)
-        )
-        sizes = counts + 2
+        numbers, sizes = self.number_chunks(found), counts + 2
         ends = np.cumsum(sizes)
         places = np.empty(sizes.sum(), np.int64)
         inner = np.ones(len(places), bool)
         inner[ends - sizes] = inner[ends - 1] = False
         places[ends - sizes], places[ends - 1] = 0, 1
-        places[inner] = number[coded.indices.to_numpy()]
+        places[inner] = numbers
         return places, sizes
 
+    def number_chunks(self, found):
+        """The number of each chunk of an Arrow array."""
+        coded = found.dictionary_encode()
+        number = np.fromiter(
+            map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary)
+        )
+        return number[coded.indices.to_numpy()]
+
+    def fresh(self):
+        """(feeds, lines, chunks) of the chunks that came since this was last asked, in the order of their numbers.
+
+        ``feeds`` has the length of those that are line feeds, else 0; ``lines`` are texts of ``LINES`` of the others.
+        """
+        found = list(islice(self.numbers, self.segmented, None))
+        self.segmented = len(self.numbers)
+        feeds = np.fromiter((len(c) if c[0] == LINE_FEED else 0 for c in found), np.int64, len(found))
+        others = [c for c in found if c[0] != LINE_FEED]
+        parts = [others[i : i + LINES] for i in range(0, len(others), LINES)]
+        return feeds, ["".join(LINE_FEED + c for c in part) for part in parts], found
+
     def segment(self):
         """Bring ``ids``, ``first`` and ``size`` (where each chunk's pieces are) and ``decoded`` up to date."""
-        fresh = list(islice(self.numbers, self.segmented, None))
-        self.segmented = len(self.numbers)
-        feeds = np.fromiter((len(c) if c[0] == LINE_FEED else 0 for c in fresh), np.int64, len(fresh))
-        others = [c for c in fresh if c[0] != LINE_FEED]
-        lines = [others[i : i + LINES] for i in range(0, len(others), LINES)]
-        found = self.model.encode(["".join(LINE_FEED + c for c in line) for line in lines], num_threads=1)
+        feeds, lines, fresh = self.fresh()
+        found = self.model.encode(lines, num_threads=1)
         flat = np.fromiter(chain.from_iterable(i[len(self.opening) :] for i in found), np.uint32)
         before = np.flatnonzero(flat == self.feed)
-        first = np.full(len(fresh), len(self.ids) + len(flat))
+        first = np.full(len(feeds), len(self.ids) + len(flat))
         first[feeds == 0] = len(self.ids) + before + 1
         size = feeds.copy()
         size[feeds == 0] = np.diff(before, append=len(flat)) - 1
@@ -174,6 +190,68 @@ class ChunkTable:
         return ChunkTable(self.model, self.decoded is not None)
 
 
+class HashedChunkTable(ChunkTable):
+    """A table that knows chunks by a 64-bit hash: those with one hash are taken as the same.
+
+    It keeps no text of a chunk, so it may have more of them, and looks up all chunks of a column at once. What it
+    gives does not depend on what it has met before, so tasks may hand it on.
+    """
+
+    def __init__(self, model):
+        super().__init__(model, decode=False)
+        self.keys, self.key_numbers, self.waiting = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+
+    def number_chunks(self, found):
+        data, offsets = text_bytes(found)
+        kinds, back = np.unique(run_hashes(data, offsets[:-1], offsets[1:]), return_inverse=True)
+        # Some place of each kind.
+        example = np.empty(len(kinds), np.int64)
+        example[back] = np.arange(len(back))
+        at = np.searchsorted(self.keys, kinds)
+        known = np.zeros(len(kinds), bool)
+        inside = np.flatnonzero(at < len(self.keys))
+        known[inside] = self.keys[at[inside]] == kinds[inside]
+        number = np.empty(len(kinds), np.int64)
+        number[known] = self.key_numbers[at[known]]
+        new = np.arange(len(kinds) - np.count_nonzero(known)) + len(self.keys) + 2
+        number[~known] = new
+        self.waiting.append(found.take(pa.array(example[~known])))
+        self.keys = np.insert(self.keys, at[~known], kinds[~known])
+        self.key_numbers = np.insert(self.key_numbers, at[~known], new)
+        return number[back]
+
+    def fresh(self):
+        found, self.waiting = pa.chunked_array(self.waiting, pa.large_string()).combine_chunks(), []
+        data, offsets = text_bytes(found)
+        is_feed = data[offsets[:-1]] == ord(LINE_FEED)
+        others = found.filter(pa.array(~is_feed))
+        at = pa.array([*range(0, len(others), LINES), len(others)], pa.int32())
+        lines = pc.binary_join(pa.ListArray.from_arrays(at, others.cast(pa.string())), LINE_FEED).to_pylist()
+        return np.where(is_feed, np.diff(offsets), 0), [LINE_FEED + line for line in lines], None
+
+    def renewed(self):
+        return self if len(self.keys) < MOST_HASHED else HashedChunkTable(self.model)
+
+
+# The table that the last task of this process left, by its model file.
+_left: dict[tuple, HashedChunkTable] = {}
+
+
+@contextmanager
+def kept_table(model_file: str):
+    """A list with the table to go on with: that of the last task of this Python process, else a new one.
+
+    What the list has at the end is left to the next task; a task that fails leaves none.
+    """
+    found = os.stat(model_file)
+    name = (model_file, found.st_mtime_ns, found.st_size)
+    table = _left.pop(name, None)
+    held = [table or HashedChunkTable(load(model_file))]
+    yield held
+    _left.clear()
+    _left[name] = held[0]
+
+
 def encode_block(texts, table):
     """(ids, decoded text) of each text of an Arrow column or list, through a table of distinct chunks."""
     column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())

@@ -18,7 +18,7 @@ from odd_rows import FOLDER, TEXTS, documents, edges, engine, nothing, union_fin
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from linkloom.llm import decontam, langid, lines, lm, pieces, quality, repeats, simhash, tables
+from linkloom.llm import decontam, langid, lines, lm, pieces, quality, repeats, runs, simhash, tables, words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -375,6 +375,49 @@ def test_base_scores_of_odd_rows(edges, nothing):
     assert lm.score_texts(nothing, learn, MODEL).collect() == []
 
 
+def test_run_hashes_tell_runs_by_their_bytes():
+    pick = random.Random(3)
+    texts = ["", "a", "a\0", "\0", "é", "x" * 8, "x" * 9, "x" * 16, *(c * n for c in "xy" for n in (512, 513, 3000))]
+    texts += ["".join(pick.choices("ab\0é", k=pick.randrange(40))) for _ in range(3000)]
+    data, offsets = runs.text_bytes(pa.array([*texts, *texts[::-1]], pa.string()))
+    hashes = words.run_hashes(data, offsets[:-1], offsets[1:])
+    assert list(hashes[: len(texts)]) == list(hashes[len(texts) :][::-1])
+    assert len(set(hashes.tolist())) == len(set(texts))
+    # A run's place does not count.
+    assert words.run_hashes(data[3:].copy(), offsets[9:-1] - 3, offsets[10:] - 3).tolist() == hashes[9:].tolist()
+
+
+def test_hashed_chunks_have_the_ids_of_the_library(documents, monkeypatch):
+    """Also where the table starts anew, and where a task goes on with that of another."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ["", "\n\n", "  a  b\n", "▁a ▁", "é\0", "\t x\r\n y", *[t for _, t in documents[:300]], ""]
+    want = [[sp.bos_id(), *sp.encode(brute.lower(t or "")), sp.eos_id()] for t in texts]
+    monkeypatch.setattr(pieces, "MOST_HASHED", 500)
+    monkeypatch.setattr(pieces, "_left", {})
+    seen = set()
+    for _ in range(2):
+        got = []
+        with pieces.kept_table(MODEL) as held:
+            for i in range(0, len(texts), 40):
+                held[0] = held[0].renewed()
+                seen.add(id(held[0]))
+                got += [list(ids) for ids in lm.subword_ids(texts[i : i + 40], held[0])]
+        assert got == want
+        assert [*pieces._left.values()] == held
+    assert len(seen) > 1
+    with pytest.raises(ValueError), pieces.kept_table(MODEL):
+        raise ValueError
+    assert not pieces._left
+
+
+def test_ids_are_counted_over_whole_batches(spark):
+    rows = [(i, i % 3 > 0, bytearray(lm.pack_ids([i % 7, i % 5, 9]))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id int, learn boolean, ids binary")
+    want = Counter(n for i in range(60) if i % 3 for n in (i % 7, i % 5, 9))
+    assert lm._id_counts(frame, 12).tolist() == [want[n] for n in range(12)]
+    assert not lm._id_counts(frame.where("doc_id < 0"), 12).any()
+
+
 @pytest.fixture(scope="module")
 def model(documents):
     loaded = pieces.load(MODEL)
